@@ -78,7 +78,7 @@ def last_value_fallback(spark, sf_dir):
 @query("global_median_fallback", text(r.panel(), r.CUT, r.FALLBACKS, "SELECT median_y FROM overall"))
 def global_median_fallback(spark, sf_dir):
     train, _ = split.time_split(_fact(spark, sf_dir), tables.HORIZON)
-    return exact_median(train, "Weekly_Sales", "median_y")
+    return exact_median(train, "Weekly_Sales", "median_y", small=0)
 
 
 @query("mean_by_series", text(r.panel(), "SELECT unique_id, AVG(Weekly_Sales) AS mean_y FROM panel GROUP BY unique_id"))

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, is_small
 
 
 def cutoff_date(df: DataFrame, valid_weeks: int, date: str = "Date") -> DataFrame:
@@ -53,8 +53,12 @@ def stratified_sample(
     does not depend on partitioning; the row limit per quartile is applied on the map side too.
     """
     means = long.groupBy(key).agg(F.avg(target).alias("mean_y")).filter("mean_y is not null")
-    edges = exact_quantiles(means, "mean_y", [0.25, 0.5, 0.75]).agg(
-        F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("e")).select(F.col("e.value").alias("edges"))
+    probs = [0.25, 0.5, 0.75]
+    if is_small(means):
+        edges = means.agg(F.percentile("mean_y", probs).alias("edges"))
+    else:
+        edges = exact_quantiles(means, "mean_y", probs).agg(
+            F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("e")).select(F.col("e.value").alias("edges"))
     banded = means.crossJoin(F.broadcast(edges)).withColumn(
         "quartile",
         F.when(F.col("mean_y") <= F.col("edges")[0], 0).when(F.col("mean_y") <= F.col("edges")[1], 1)
