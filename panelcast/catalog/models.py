@@ -3,8 +3,11 @@
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.ids import submission_id
 from ..models import baselines, gbt, grids, grouped, linear
 from ..operators import clean, joins, lags, metrics, panel, split
+from ..operators.ledger import best_run
+from ..plans import global_model, inference, series_models
 from ..sources import staging, tables
 from . import registry as r
 from .panels import complete_ids, merged
@@ -205,3 +208,35 @@ def covariate_ridge(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+
+
+# end-to-end jobs
+
+@query("run_global_sweep")
+def run_global_sweep(spark, sf_dir):
+    """Two tree regimes through features, split, fit, score and ledger; the better one."""
+    train, valid = global_model.feature_parts(merged(spark, sf_dir, "dense"), tables.EVENTS, tables.HORIZON)
+    configs = grids.pick(grids.trees(), "low_capacity_1", "low_capacity_3")
+    rows = global_model.sweep(train, valid, configs)
+    return best_run(rows).select("experiment", "label", "regime", "train_wmae", "val_wmae", "status")
+
+
+@query("run_series_sweep")
+def run_series_sweep(spark, sf_dir):
+    """All additive configurations on a stratified sample of the complete series."""
+    long = panel.to_long(_fact(spark, sf_dir))
+    return series_models.sweep(long, tables.HORIZON, "Additive", grids.additive(), 250)
+
+
+@query("run_inference")
+def run_inference(spark, sf_dir):
+    """Stored autoregressive models to a gated submission, read back from its files."""
+    train, valid = split.time_split(_fact(spark, sf_dir), tables.HORIZON)
+    long = panel.to_long(train)
+    config = grids.pick(grids.arima(), "balanced_9")[0]
+    models = staging.write_once(grouped.final_refit(long, "ARIMA", config), "models")
+    forecast = grouped.forecast_models(models, long, "ARIMA", config, tables.HORIZON)
+    template = valid.select(submission_id().alias("Id")).withColumn("pos", F.md5("Id"))
+    path = staging.new_path(spark, "submission")
+    inference.checked_submission(valid, template, forecast, *baselines.fallbacks(long), path)
+    return spark.read.schema("Id string, Weekly_Sales double").option("header", True).csv(path)

@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.scalars import fallback_chain
 from ..operators.aggregates import last_value_by_series
-from ..operators.joins import with_fallbacks
 from ..operators.lags import calendar_lags
 from ..operators.metrics import train_val_report
 from ..operators.panel import future_grid
@@ -34,11 +34,10 @@ def seasonal_naive(history: DataFrame, requests: DataFrame, weeks: int = 52) ->
     Both frames carry unique_id, Store, Dept, Date; the result keeps the request rows.
     """
     past = history.select("Store", "Dept", "Date", "Weekly_Sales")
-    lagged = calendar_lags(past, requests.drop("Weekly_Sales"), weeks)
-    long = history.select("unique_id", F.col("Date").alias("ds"), F.col("Weekly_Sales").alias("y"))
-    by_id, overall = fallbacks(long)
-    lagged = lagged.withColumnRenamed(f"lag_{weeks}", "prediction")
-    return with_fallbacks(lagged, by_id, overall)
+    lagged = calendar_lags(past, requests.drop("Weekly_Sales"), weeks, last_value="last_y")
+    overall = exact_median(history, "Weekly_Sales", "median_y")
+    filled = fallback_chain(f"lag_{weeks}", "last_y", "median_y")
+    return lagged.crossJoin(F.broadcast(overall)).select(*requests.drop("Weekly_Sales").columns, filled.alias("prediction"))
 
 
 def last_value_forecast(long: DataFrame, horizon: int) -> DataFrame:
@@ -50,14 +49,12 @@ def last_value_forecast(long: DataFrame, horizon: int) -> DataFrame:
 def baseline_predictions(fact: DataFrame, cutoff: Column) -> DataFrame:
     """Every baseline for every row: (label, unique_id, Date, IsHoliday, is_train, y, prediction,
     used_fallback).  History ends at ``cutoff``; one shuffle by series serves all baselines."""
-    rows = calendar_lags(fact.withColumn("is_train", F.col("Date") < cutoff), weeks=[52, 104], cutoff=cutoff)
-    whole = W.partitionBy("Store", "Dept").orderBy(F.unix_date("Date")).rowsBetween(
-        W.unboundedPreceding, W.unboundedFollowing)
+    rows = calendar_lags(fact.withColumn("is_train", F.col("Date") < cutoff), weeks=[52, 104], cutoff=cutoff, last_value="last_y")
+    series = W.partitionBy("Store", "Dept")
     past = F.when(F.col("is_train"), F.col("Weekly_Sales"))
     median = exact_median(fact.filter(F.col("Date") < cutoff), "Weekly_Sales", "median_y")
     rows = rows.withColumns({
-        "last_y": F.last(past, ignorenulls=True).over(whole),
-        "mean_y": F.avg(past).over(whole),
+        "mean_y": F.avg(past).over(series),
         "weeks_ahead": F.when(~F.col("is_train"), F.datediff(F.col("Date"), cutoff) / 7 + 1).otherwise(0),
     }).crossJoin(F.broadcast(median))
     raw = {

@@ -65,6 +65,7 @@ def calendar_lags(
     weeks: int | Sequence[int] = schemas.LAG_WEEKS,
     roll: int = schemas.ROLL_WEEKS,
     cutoff: dt.date | Column | None = None,
+    last_value: str | None = None,
     by: Sequence[str] = SERIES, date: str = "Date", target: str = "Weekly_Sales",
 ) -> DataFrame:
     """``lag_52`` with the trailing mean and deviation as of that week.
@@ -73,6 +74,7 @@ def calendar_lags(
     but a mean over the weeks that exist, and nothing is returned outside the first..last week of
     the series' history.  ``requests`` are rows to featurize that are not part of the history;
     without it the history itself is featurized.  ``cutoff`` hides history on or after a date.
+    ``last_value`` names a column for the series' last known value, read in the same pass.
     """
     if requests is None:
         rows = history.withColumn("_request", F.lit(True))
@@ -97,6 +99,8 @@ def calendar_lags(
         features[f"lag_{k}"] = F.max("_y").over(timed.rangeBetween(-7 * k, -7 * k))
         features[f"roll_mean_{roll}_lag{k}"] = F.when(within, F.avg("_y").over(trail))
         features[f"roll_std_{roll}_lag{k}"] = F.when(within, F.stddev_samp("_y").over(trail))
+    if last_value:
+        features[last_value] = F.last("_y", ignorenulls=True).over(whole)
     out = rows.withColumns(features)
     return out.filter("_request").drop("_request", "_y", "_day", "_seen")
 
