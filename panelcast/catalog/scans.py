@@ -11,14 +11,17 @@ from . import registry as r
 from .registry import query, text
 
 
+_csv_paths: dict[tuple, str] = {}
+
+
 def _csv_copy(spark, sf_dir, name, build, **options):
     """The derived table in the published CSV layout, written once per session."""
-    key = (spark.sparkContext.applicationId, "csv", name, sf_dir)
-    if key not in staging._tables:
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    if key not in _csv_paths:
         path = staging.new_path(spark, f"csv-{name}")
         build().write.options(header=True, nullValue="NA", **options).csv(path)
-        staging._tables[key] = path
-    return staging._tables[key]
+        _csv_paths[key] = path
+    return _csv_paths[key]
 
 
 @query("scan_fact", text(r.panel(), "SELECT Store, Dept, Date, Weekly_Sales, IsHoliday FROM panel"))

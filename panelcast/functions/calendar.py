@@ -29,7 +29,7 @@ def holiday_dates(first_year: int = 2010, last_year: int = 2013) -> list[tuple[s
 
 def week_friday(date) -> Column:
     """The Friday of the ISO week that holds ``date``."""
-    return F.date_add(F.trunc(date, "week"), 4)
+    return F.date_add(date, 4 - F.weekday(date))
 
 
 def holiday_name(date="Date") -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.scalars import clip_nonnegative, fallback_chain
 from ..operators.metrics import fit_report, wmae_expr
+from ..sources.staging import ensure_checkpoint_dir
 
 SEED = 42
 MAX_DEPTH = 30
@@ -58,6 +59,7 @@ def fill_for_trees(frame: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def train_weighted(frame: DataFrame, config: Mapping, target: str = "Weekly_Sales") -> PipelineModel:
     """Squared error with holiday weights over the positional feature frame (column ``weight``)."""
+    ensure_checkpoint_dir(frame.sparkSession)
     params, _ = to_mllib(config)
     assembler = VectorAssembler(inputCols=list(schemas.POSITIONAL_FEATURES), outputCol="features")
     trees = GBTRegressor(featuresCol="features", labelCol=target, weightCol="weight", seed=SEED, **params)
@@ -69,6 +71,7 @@ def train_categorical(frame: DataFrame, config: Mapping, target: str = "Weekly_S
 
     The bin count follows the number of categories, so no category is merged.
     """
+    ensure_checkpoint_dir(frame.sparkSession)
     params, _ = to_mllib(config)
     keys = ["Store", "Dept"]
     numeric = [c for c in schemas.CALENDAR_FEATURES if c not in keys]

@@ -96,8 +96,12 @@ def shared_features(
 def store_date_features(
     covariates: DataFrame, events: Sequence[dt.date], columns: Sequence[str] = tuple(schemas.FUTURE_COLUMNS)
 ) -> DataFrame:
-    """Cleaned, dated covariates, one row per (Store, Date); the first row wins on duplicates."""
-    out = handle_missing(covariates)
+    """Cleaned, dated covariates, one row per (Store, Date); the first row wins on duplicates.
+
+    Exact copies are merged before the fill, on the map side first, so a store with many copies
+    does not make one huge window group; copies are neighbours and cannot change the fill.
+    """
+    out = handle_missing(covariates.distinct())
     if "IsHoliday" in out.columns:
         out = out.withColumn("IsHoliday", encode_holiday())
     out = add_calendar(out, events)

@@ -9,9 +9,10 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_folder: dict[str, str] = {}
-_tables: dict[tuple, str] = {}
+_tables: dict[tuple, tuple[str, StructType]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,6 +28,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder[app]
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Give iterative fits a place to cut their lineage, if the session has none."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/panelcast/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
@@ -44,9 +51,11 @@ def staged(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> D
     full = (spark.sparkContext.applicationId, *key)
     if full not in _tables:
         path = new_path(spark, "-".join(str(k).strip("/").replace("/", "_") for k in key))
-        build().write.parquet(path)
-        _tables[full] = path
-    return spark.read.parquet(_tables[full])
+        df = build()
+        df.write.parquet(path)
+        _tables[full] = path, df.schema
+    path, schema = _tables[full]
+    return spark.read.schema(schema).parquet(path)
 
 
 def forget() -> None:

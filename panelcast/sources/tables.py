@@ -20,16 +20,27 @@ DEPARTMENTS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 HORIZON = 39
 
+# The columns used, so that reading a table needs no look at its files.
+SCHEMAS = {
+    "lineitem": "l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_shipdate timestamp_ntz",
+    "orders": "o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_type string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "events": "event_id bigint, event_type string, value double",
+}
+
 EVENTS: list[dt.date] = [d for _, d in holiday_dates(FIRST_YEAR, LAST_YEAR)]
 STORE_KEY = {"dense": "n_regionkey", "ragged": "n_nationkey"}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("bigint")
+    return F.rint(F.col(amount) * 100).cast("bigint")
 
 
 def department(part_type: str = "p_type") -> Column:
