@@ -72,15 +72,17 @@ def join_forecast_keys(spark, sf_dir):
     return joins.join_forecast(submit.forecast_keys(valid), forecast)
 
 
-# The lookup knows only even departments; elsewhere the flag is missing and reads False.
-@query("join_holiday_lookup", text(r.panel(), r.CUT, """
-SELECT unique_id, Date AS ds, Weekly_Sales AS y, IsHoliday AND Dept % 2 = 0 AS IsHoliday FROM valid"""))
+# The lookup comes from the covariates; weeks without orders are absent from it and read False.
+@query("join_holiday_lookup", text(r.panel(), r.covariates(), r.CUT, """
+SELECT unique_id, v.Date AS ds, Weekly_Sales AS y, coalesce(c.IsHoliday, FALSE) AS IsHoliday
+FROM valid v LEFT JOIN covariates c ON c.Store = v.Store AND c.Date = v.Date"""))
 def join_holiday_lookup(spark, sf_dir):
     fact = _fact(spark, sf_dir)
     _, valid = split.time_split(fact, tables.HORIZON)
-    lookup = joins.holiday_lookup(fact.filter("Dept % 2 = 0").withColumnRenamed("Date", "ds"))
+    flags = _covariates(spark, sf_dir).select("Store", "Date", "IsHoliday")
+    known = fact.select("unique_id", "Store", "Date").join(flags, ["Store", "Date"])
     oof = valid.select("unique_id", F.col("Date").alias("ds"), F.col("Weekly_Sales").alias("y"))
-    return joins.join_holidays(oof, lookup)
+    return joins.join_holidays(oof, joins.holiday_lookup(known.withColumnRenamed("Date", "ds")))
 
 
 @query("join_calendar_lag", text(r.panel(), r.SPINE.format(source="panel"), """
@@ -134,18 +136,25 @@ def semi_join_ids(spark, sf_dir):
     return joins.semi_join_ids(fact, aggregates.series_length(fact).filter("n >= 200"))
 
 
-# Template: all validation rows but department 1; predictions: those with a value a year before.
-DIFF = [r.panel(), r.CUT, """template AS (SELECT unique_id || '_' || strftime(Date, '%Y-%m-%d') AS Id FROM valid WHERE Dept <> 1),
-predicted AS (SELECT v.unique_id || '_' || strftime(v.Date, '%Y-%m-%d') AS Id FROM valid v
-              JOIN train t ON t.unique_id = v.unique_id AND t.Date = v.Date - 364)"""]
+# Template: the held-out rows.  Predictions: last year's rows moved a year ahead, so some series
+# are missing (no sales a year ago) and some are extra (no sales this year).
+DIFF = [r.panel(), r.CUT, """template AS (SELECT unique_id || '_' || strftime(Date, '%Y-%m-%d') AS Id FROM valid),
+predicted AS (SELECT unique_id || '_' || strftime(Date + 364, '%Y-%m-%d') AS Id FROM train, cut
+              WHERE Date + 364 >= cutoff AND Date + 364 <= (SELECT MAX(Date) FROM panel))"""]
+
+
+def template_and_predicted(spark, sf_dir):
+    """(held-out rows, last year's rows moved into the same weeks)."""
+    fact = _fact(spark, sf_dir)
+    train, valid = split.time_split(fact, tables.HORIZON)
+    last = fact.agg(F.max("Date")).scalar()
+    moved = train.withColumn("Date", cal.week_shift("Date", 52))
+    moved = moved.filter((F.col("Date") >= split.cutoff_value(fact, tables.HORIZON)) & (F.col("Date") <= last))
+    return valid, moved
 
 
 def _template_and_predictions(spark, sf_dir):
-    train, valid = split.time_split(_fact(spark, sf_dir), tables.HORIZON)
-    template = valid.filter("Dept <> 1").select(ids.submission_id().alias("Id"))
-    known = train.select("unique_id", cal.week_shift("Date", 52).alias("Date"))
-    predicted = valid.join(known, ["unique_id", "Date"], "left_semi").select(ids.submission_id().alias("Id"))
-    return template, predicted
+    return [df.select(ids.submission_id().alias("Id")) for df in template_and_predicted(spark, sf_dir)]
 
 
 @query("anti_join_ids", text(*DIFF, """
@@ -155,13 +164,14 @@ def anti_join_ids(spark, sf_dir):
     return joins.id_differences(*_template_and_predictions(spark, sf_dir))
 
 
-@query("map_lookup", text(r.panel(), r.CUT, r.FALLBACKS, """
-SELECT v.unique_id, v.Date, b.last_y FROM valid v LEFT JOIN (SELECT * FROM by_id WHERE unique_id NOT LIKE '%_2') b
-  ON b.unique_id = v.unique_id"""))
+# Only series with at least 150 training weeks have an entry.
+@query("map_lookup", text(r.panel(), r.CUT, """
+long_ids AS (SELECT unique_id, arg_max(Weekly_Sales, Date) AS last_y FROM train GROUP BY unique_id HAVING COUNT(*) >= 150)""", """
+SELECT v.unique_id, v.Date, b.last_y FROM valid v LEFT JOIN long_ids b ON b.unique_id = v.unique_id"""))
 def map_lookup(spark, sf_dir):
     train, valid = split.time_split(_fact(spark, sf_dir), tables.HORIZON)
-    last = aggregates.last_value_by_series(train, date="Date", target="Weekly_Sales").filter(~F.col("unique_id").endswith("_2"))
-    return joins.map_lookup(valid.select("unique_id", "Date"), last, "unique_id", "last_y")
+    table = train.groupBy("unique_id").agg(F.max_by("Weekly_Sales", "Date").alias("last_y"), F.count("*").alias("n"))
+    return joins.map_lookup(valid.select("unique_id", "Date"), table.filter("n >= 150"), "unique_id", "last_y")
 
 
 @query("cross_config_series", text(r.panel(), """

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import ids, scalars
-from ..operators import aggregates, lags, metrics, panel, rows, split
-from ..operators import clean
+from ..operators import aggregates, clean, lags, metrics, panel, rows, split
+from ..operators.joins import with_fallbacks
+from ..operators.quantiles import exact_median
 from ..sources import tables
 from . import registry as r
 from .registry import query, text
@@ -183,17 +184,17 @@ def clip_nonnegative(spark, sf_dir):
     return ends.select("unique_id", scalars.clip_nonnegative(line).alias("forecast"), (line < 0).alias("was_negative"))
 
 
+# Series with fewer than 150 training weeks have no last value and fall through to the median.
 @query("fallback_chain", text(r.panel(), r.CUT, r.FALLBACKS, """
 SELECT v.unique_id, v.Date, coalesce(t.Weekly_Sales, b.last_y, median_y) AS prediction
 FROM valid v CROSS JOIN overall LEFT JOIN train t ON t.unique_id = v.unique_id AND t.Date = v.Date - 364
-     LEFT JOIN (SELECT * FROM by_id WHERE unique_id NOT LIKE '%_3') b ON b.unique_id = v.unique_id"""))
+     LEFT JOIN (SELECT by_id.* FROM by_id SEMI JOIN (SELECT unique_id FROM train GROUP BY unique_id HAVING COUNT(*) >= 150) l
+                ON l.unique_id = by_id.unique_id) b ON b.unique_id = v.unique_id"""))
 def fallback_chain(spark, sf_dir):
-    from ..operators.joins import with_fallbacks
-    from ..operators.quantiles import exact_median
     train, valid = split.time_split(_fact(spark, sf_dir), tables.HORIZON)
     lagged = lags.calendar_lags(train, valid.drop("Weekly_Sales")).withColumnRenamed("lag_52", "prediction")
-    last = aggregates.last_value_by_series(train, date="Date", target="Weekly_Sales").filter(~F.col("unique_id").endswith("_3"))
-    filled = with_fallbacks(lagged, last, exact_median(train, "Weekly_Sales", "median_y"))
+    table = train.groupBy("unique_id").agg(F.max_by("Weekly_Sales", "Date").alias("last_y"), F.count("*").alias("n"))
+    filled = with_fallbacks(lagged, table.filter("n >= 150"), exact_median(train, "Weekly_Sales", "median_y"))
     return filled.select("unique_id", "Date", "prediction")
 
 

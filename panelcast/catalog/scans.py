@@ -148,10 +148,12 @@ def build_ledger(spark, sf_dir):
     return staging.staged(spark, ("ledger", sf_dir), build)
 
 
+def small(c):
+    """Rounded for comparison; a diverged figure is shown as its order of magnitude."""
+    return F.when(F.abs(F.col(c)) < ledger.DIVERGED, F.round(c, 2)).otherwise(F.floor(F.log10(c)).cast("double"))
+
+
 def shown(df, *extra):
-    """Errors rounded for comparison; a diverged error is shown as its order of magnitude."""
-    def small(c):
-        return F.when(F.col(c) < ledger.DIVERGED, F.round(c, 2)).otherwise(F.floor(F.log10(c)).cast("double"))
     return df.select("experiment", "label", small("val_wmae").alias("val_wmae"), *extra)
 
 

@@ -8,8 +8,9 @@ from ..operators import joins, ledger, metrics, split, submit
 from ..sources import staging, tables
 from . import registry as r
 from .aggregates import RAW, raw_seasonal
+from .joins import DIFF, template_and_predicted
 from .registry import query, text
-from .scans import LEDGER, SEASONAL, SHOWN, build_ledger, seasonal_submission, shown
+from .scans import LEDGER, SEASONAL, SHOWN, build_ledger, seasonal_submission, shown, small
 
 
 def _fact(spark, sf_dir, grain="ragged"):
@@ -25,14 +26,16 @@ def evaluate_forecast(spark, sf_dir):
     return metrics.evaluate_forecast(oof, holidays, ["Dept"])
 
 
-@query("train_val_report", text(*LEDGER, """
-SELECT label, round(train_wmae, 2) AS train_wmae, round(val_wmae, 2) AS val_wmae, round(gap_pct, 2) AS gap_pct, status
-FROM ledger WHERE label <> 'doubling'"""))
+def _magnitude(c):
+    return f"CASE WHEN abs({c}) < 1e12 THEN round({c}, 2) ELSE floor(log10({c})) END AS {c}"
+
+
+@query("train_val_report", text(*LEDGER, f"""
+SELECT label, {_magnitude('train_wmae')}, {_magnitude('val_wmae')}, {_magnitude('gap_pct')}, status FROM ledger"""))
 def train_val_report(spark, sf_dir):
     fact = _fact(spark, sf_dir, "dense")
-    scored = baselines.baseline_predictions(fact, split.cutoff_value(fact, tables.HORIZON)).filter("label <> 'doubling'")
-    report = metrics.train_val_report(scored)
-    return report.withColumns({c: F.round(c, 2) for c in ("train_wmae", "val_wmae", "gap_pct")})
+    scored = baselines.baseline_predictions(fact, split.cutoff_value(fact, tables.HORIZON))
+    return metrics.train_val_report(scored).withColumns({c: small(c) for c in ("train_wmae", "val_wmae", "gap_pct")})
 
 
 @query("fallback_flagging", text(r.panel(), r.CUT, RAW, "SELECT unique_id, Date, prediction IS NULL AS used_fallback FROM raw"))
@@ -46,18 +49,19 @@ def holiday_vs_nonholiday(spark, sf_dir):
     return metrics.mae_by(raw_seasonal(spark, sf_dir), ["IsHoliday"])
 
 
-# The template lacks department 1, so those predictions are extra.
-@query("prediction_gate", text(r.panel(), r.CUT, r.FALLBACKS, f"predicted AS ({SEASONAL})", """
+# The template is last year's rows moved a year ahead, so ids are missing and extra.
+@query("prediction_gate", text(*DIFF, r.FALLBACKS, f"submission AS ({SEASONAL})", """
 facts AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (Weekly_Sales IS NULL) AS nulls, COUNT(*) FILTER (Weekly_Sales < 0) AS neg,
-  (SELECT COUNT(*) FROM valid) AS expected, (SELECT COUNT(*) FROM valid WHERE Dept = 1) AS extra FROM predicted),
+  (SELECT COUNT(*) FROM valid) AS expected,
+  (SELECT COUNT(*) FROM predicted WHERE Id NOT IN (SELECT Id FROM submission)) AS missing,
+  (SELECT COUNT(*) FROM submission WHERE Id NOT IN (SELECT Id FROM predicted)) AS extra FROM submission),
 checks AS (SELECT unnest(['columns', 'row_count', 'not_null', 'nonnegative', 'missing_ids', 'extra_ids']) AS "check",
-                  unnest([0, abs(n - expected), nulls, neg, 0, extra]) AS n_bad FROM facts)""", """
+                  unnest([0, abs(n - expected), nulls, neg, missing, extra]) AS n_bad FROM facts)""", """
 SELECT "check", n_bad = 0 AS ok, CAST(n_bad AS BIGINT) AS n_bad FROM checks"""))
 def prediction_gate(spark, sf_dir):
-    _, valid = split.time_split(_fact(spark, sf_dir), tables.HORIZON)
+    valid, moved = template_and_predicted(spark, sf_dir)
     predictions = staging.write_once(seasonal_submission(spark, sf_dir), "predictions")
-    template = valid.filter("Dept <> 1").select(ids.submission_id().alias("Id"))
-    return submit.prediction_gate(predictions, valid, template)
+    return submit.prediction_gate(predictions, valid, moved.select(ids.submission_id().alias("Id")))
 
 
 BEST = """best AS (SELECT * FROM ledger WHERE run_status = 'FINISHED' AND val_wmae < 1e12
@@ -86,12 +90,14 @@ def select_best_model(spark, sf_dir):
     return shown(ledger.best_per_experiment(build_ledger(spark, sf_dir)), "run_id")
 
 
-# The seasonal experiment lost its artifact, so the next one in the ranking is taken.
-@query("next_best_on_failure", text(*LEDGER, BEST, f"""
-SELECT {SHOWN} FROM best AS ledger WHERE experiment <> 'Seasonal' ORDER BY ledger.val_wmae, experiment LIMIT 1"""))
+# An experiment's artifact counts as usable when none of its runs needed the fallback.
+@query("next_best_on_failure", text(*LEDGER, BEST, """
+usable AS (SELECT experiment FROM ledger GROUP BY experiment HAVING SUM(fallback_series) = 0)""", f"""
+SELECT {SHOWN} FROM best AS ledger WHERE experiment IN (SELECT experiment FROM usable)
+ORDER BY ledger.val_wmae, experiment LIMIT 1"""))
 def next_best_on_failure(spark, sf_dir):
     runs = build_ledger(spark, sf_dir)
-    artifacts = runs.groupBy("experiment").agg((F.max("experiment") != "Seasonal").alias("usable"))
+    artifacts = runs.groupBy("experiment").agg((F.sum("fallback_series") == 0).alias("usable"))
     return shown(ledger.next_usable(ledger.best_per_experiment(runs), artifacts))
 
 

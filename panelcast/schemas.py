@@ -38,20 +38,6 @@ TEMPLATE = T.StructType([
     T.StructField("Weekly_Sales", T.DoubleType(), True),
 ])
 
-LEDGER = T.StructType([
-    T.StructField("experiment", T.StringType(), False),
-    T.StructField("label", T.StringType(), False),
-    T.StructField("regime", T.StringType(), True),
-    T.StructField("params", T.MapType(T.StringType(), T.StringType()), True),
-    T.StructField("train_wmae", T.DoubleType(), True),
-    T.StructField("val_wmae", T.DoubleType(), True),
-    T.StructField("gap_pct", T.DoubleType(), True),
-    T.StructField("status", T.StringType(), True),
-    T.StructField("fallback_series", T.LongType(), True),
-    T.StructField("run_status", T.StringType(), True),
-    T.StructField("run_id", T.StringType(), True),
-])
-
 MODEL_STORE = T.StructType([
     T.StructField("label", T.StringType(), False),
     T.StructField("unique_id", T.StringType(), False),
