@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.ids import submission_id
 from ..models import baselines
-from ..operators import joins, ledger, split, submit
+from ..operators import ledger, split, submit
 from ..sources import files, staging, tables
 from . import registry as r
 from .registry import query, text

@@ -95,7 +95,7 @@ def on_weekly_grid(days: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.interp(grid, days[known], y[known])
 
 
-def _one(family: str, cfg: dict, row, min_train: int) -> pd.DataFrame:
+def _one(family: str, cfg: dict, row, min_train: int) -> dict[str, np.ndarray]:
     days, y, hol = _arrays(row, "train")
     ahead, actual, ahead_hol = _arrays(row, "valid")
     known = y[np.isfinite(y)]
@@ -118,15 +118,31 @@ def _one(family: str, cfg: dict, row, min_train: int) -> pd.DataFrame:
                 fitted = inside[((days - days[0]) / 7).astype(int)] if recursive else inside
         except (ValueError, np.linalg.LinAlgError):
             pass
-    return pd.DataFrame({
-        "label": row.label, "unique_id": row.unique_id,
-        "ds": pd.to_datetime(np.concatenate([days, ahead]), unit="D"),
-        "IsHoliday": np.concatenate([hol, ahead_hol]) > 0,
-        "is_train": np.concatenate([np.ones(len(days), bool), np.zeros(len(ahead), bool)]),
-        "y": np.concatenate([y, actual]),
-        "prediction": np.concatenate([fitted, forecast]),
-        "used_fallback": failed,
-    })
+    n = len(days) + len(ahead)
+    return {
+        "label": np.full(n, row.label, object), "unique_id": np.full(n, row.unique_id, object),
+        "ds": np.concatenate([days, ahead]), "IsHoliday": np.concatenate([hol, ahead_hol]) > 0,
+        "is_train": np.arange(n) < len(days), "y": np.concatenate([y, actual]),
+        "prediction": np.concatenate([fitted, forecast]), "used_fallback": np.full(n, failed),
+    }
+
+
+def _frames(parts: Iterator[dict], rows: int = 20_000) -> Iterator[pd.DataFrame]:
+    """Join the columns of many fits into frames of a few thousand rows."""
+    held, size = [], 0
+
+    def frame():
+        out = pd.DataFrame({c: np.concatenate([h[c] for h in held]) for c in held[0]})
+        return out.assign(ds=pd.to_datetime(out["ds"], unit="D"))
+
+    for part in parts:
+        held.append(part)
+        size += len(part["ds"])
+        if size >= rows:
+            yield frame()
+            held, size = [], 0
+    if held:
+        yield frame()
 
 
 def _null_missing(out: DataFrame) -> DataFrame:
@@ -143,9 +159,9 @@ def sweep_fit(
     jobs = cross_configs(pack_series(long, cutoff), configs.select("label", "params"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                yield _one(family, json.loads(row.params), row, min_train)
+        return _frames(
+            _one(family, json.loads(row.params), row, min_train)
+            for batch in batches for row in batch.itertuples(index=False))
 
     return _null_missing(jobs.mapInPandas(run, FITTED))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.panel import robust_scale
+from ..operators.panel import interpolate_linear, robust_scale, weekly_spine
 
 
 def decomposed_windows(long: DataFrame, input_size: int, horizon: int, moving_avg: int) -> DataFrame:
@@ -73,8 +73,11 @@ def decomposed_linear(
     long: DataFrame, cutoff: Column, horizon: int, input_size: int = 52, moving_avg: int = 13, ridge: float = 1e-3,
 ) -> DataFrame:
     """One linear map from the last ``input_size`` weeks to the next ``horizon``, pooled over
-    series that are scaled by median and IQR: (unique_id, ds, prediction)."""
-    scaled = robust_scale(long.filter(F.col("ds") < cutoff)).select(
+    series that are scaled by median and IQR: (unique_id, ds, prediction).
+
+    Gap weeks are filled on a straight line first, so that windows are weeks and not rows."""
+    past = interpolate_linear(weekly_spine(long.filter(F.col("ds") < cutoff).select("unique_id", "ds", "y")))
+    scaled = robust_scale(past).select(
         "unique_id", "ds", F.col("scaled").alias("y"), "center", "spread").filter("y is not null")
     windows = decomposed_windows(scaled, input_size, horizon, moving_avg)
     train = windows.filter(F.size("ahead") == horizon)

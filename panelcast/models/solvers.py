@@ -26,12 +26,18 @@ def _orders(cfg: dict) -> tuple[list[int], list[int], int, int, int, bool]:
 
 
 def _residuals(z: np.ndarray, coefs: np.ndarray, ar: list[int], ma: list[int], const: bool) -> np.ndarray:
-    e = np.zeros(len(z))
+    """One-step shocks, zero before the first week with a full history."""
     base, phi, theta = coefs[0] if const else 0.0, *np.split(coefs[int(const):], [len(ar)])
-    for t in range(max(ar + ma + [0]), len(z)):
-        mean = base + sum(c * z[t - k] for c, k in zip(phi, ar)) + sum(c * e[t - k] for c, k in zip(theta, ma))
-        e[t] = z[t] - mean
-    return e
+    start = max(ar + ma + [0])
+    known = np.zeros(len(z))
+    known[start:] = z[start:] - base - _lags(z, ar, start) @ phi
+    if not ma:
+        return known
+    e, weights = known.tolist(), list(zip(ma, theta.tolist()))
+    for t in range(start, len(e)):
+        for k, c in weights:
+            e[t] -= c * e[t - k]
+    return np.array(e)
 
 
 def arma_fit(y: np.ndarray, cfg: dict) -> np.ndarray:
@@ -135,9 +141,15 @@ def additive_predict(days: np.ndarray, holidays: np.ndarray, coefs: np.ndarray,
 
 
 def basis_fit(days: np.ndarray, y: np.ndarray, cfg: dict) -> np.ndarray:
-    """[first day, span, weights...] of a polynomial trend plus yearly harmonics."""
+    """[first day, span, weights...] of a polynomial trend plus yearly harmonics.
+
+    A small ridge on all but the level keeps short inputs from exploding ahead of their end.
+    """
     first, span = float(days[0]), float(max(days[-1] - days[0], 7))
-    return np.concatenate([[first, span], _least_squares(_basis(days, first, span, cfg), y)])
+    x = _basis(days, first, span, cfg)
+    penalty = np.full(x.shape[1], cfg.get("ridge", 1e-4) * len(y))
+    penalty[0] = 0.0
+    return np.concatenate([[first, span], np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ y)])
 
 
 def basis_predict(days: np.ndarray, coefs: np.ndarray, cfg: dict) -> np.ndarray:
