@@ -32,19 +32,26 @@ def week_friday(date) -> Column:
     return F.date_add(date, 4 - F.weekday(date))
 
 
-def holiday_name(date="Date") -> Column:
-    """Event whose week ends on this Friday, or NULL."""
-    d = F.col(date) if isinstance(date, str) else date
-    friday = F.dayofweek(d) == 6
-    out = F.lit(None).cast("string")
-    for event, month, lo, hi in HOLIDAY_RULE:
-        hit = friday & (F.month(d) == month) & F.dayofmonth(d).between(lo, hi)
-        out = F.when(hit, F.lit(event)).otherwise(out)
-    return out
+def holiday_case(date: str, results: list[str], otherwise: str) -> str:
+    """SQL text: the result of the event whose week ends on this Friday."""
+    hits = " ".join(
+        f"WHEN month({date}) = {month} AND day({date}) BETWEEN {lo} AND {hi} THEN {result}"
+        for (_, month, lo, hi), result in zip(HOLIDAY_RULE, results, strict=True))
+    return f"CASE WHEN dayofweek({date}) <> 6 THEN {otherwise} {hits} ELSE {otherwise} END"
+
+
+def holiday_name(date: str = "Date") -> Column:
+    """Name of the event, or NULL."""
+    return F.expr(holiday_case(date, [f"'{event}'" for event, *_ in HOLIDAY_RULE], "CAST(NULL AS STRING)"))
+
+
+def holiday_code(date: str = "Date") -> str:
+    """SQL text: 1..4 for the events in order, 0 otherwise."""
+    return holiday_case(date, ["1", "2", "3", "4"], "0")
 
 
-def is_rule_holiday(date="Date") -> Column:
-    return holiday_name(date).isNotNull()
+def is_rule_holiday(date: str = "Date") -> Column:
+    return F.expr(f"{date} IS NOT NULL AND {holiday_code(date)} > 0")
 
 
 def calendar_parts(date="Date") -> dict[str, Column]:
@@ -59,17 +66,18 @@ def event_distance(date: str, events: list[dt.date]) -> dict[str, Column]:
     The calendar is a short literal list, so each side is one unrolled ``greatest``/``least`` over
     the row's own date instead of a rows x events join.
     """
-    d = F.col(date)
     days = sorted(set(events))
-    far = F.lit(None).cast("date")
-    before = F.greatest(far, far, *[F.when(d >= F.lit(e), F.lit(e)) for e in days])
-    after = F.least(far, far, *[F.when(d <= F.lit(e), F.lit(e)) for e in days])
-    inf = F.lit(float("inf"))
+
+    def side(pick: str, holds: str) -> str:
+        hits = ", ".join(f"IF({date} {holds} DATE'{e}', DATE'{e}', NULL)" for e in days)
+        return f"{pick}(CAST(NULL AS DATE), CAST(NULL AS DATE){', ' if hits else ''}{hits})"
+
+    def distance(days_between: str) -> Column:
+        return F.expr(f"IF({date} IS NULL, NULL, coalesce(CAST({days_between} AS DOUBLE), DOUBLE('Infinity')))")
+
     return {
-        "DaysSinceLastHoliday": F.when(
-            d.isNotNull(), F.coalesce(F.datediff(d, before).cast("double"), inf)),
-        "DaysToNextHoliday": F.when(
-            d.isNotNull(), F.coalesce(F.datediff(after, d).cast("double"), inf)),
+        "DaysSinceLastHoliday": distance(f"datediff({date}, {side('greatest', '>=')})"),
+        "DaysToNextHoliday": distance(f"datediff({side('least', '<=')}, {date})"),
     }
 
 

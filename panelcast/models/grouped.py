@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.calendar import HOLIDAY_RULE, holiday_name
+from ..functions.calendar import holiday_code
 from ..operators.joins import cross_configs
 from ..operators.metrics import train_val_report
 from ..operators.panel import interpolate_linear, weekly_spine
@@ -26,12 +26,6 @@ STORED = "label string, unique_id string, coefs array<double>, status string"
 FORECAST = "unique_id string, ds date, prediction double"
 
 
-def holiday_code(date="ds") -> Column:
-    """1..4 for the named events, 0 otherwise."""
-    names = F.array(*[F.lit(event) for event, *_ in HOLIDAY_RULE])
-    return F.coalesce(F.array_position(names, holiday_name(date)), F.lit(0)).cast("int")
-
-
 def task_count(df: DataFrame) -> int:
     """Fits are CPU-bound and rows tiny, so the spread follows cores, not bytes."""
     spark = df.sparkSession
@@ -46,7 +40,7 @@ def pack_series(long: DataFrame, cutoff: Column | None = None) -> DataFrame:
     past = F.lit(True) if cutoff is None else F.col("ds") < cutoff
     rows = long.select("unique_id", F.struct(
         F.unix_date("ds").alias("day"), F.col("y").cast("double").alias("y"),
-        holiday_code().alias("holiday"), past.alias("past")).alias("r"))
+        F.expr(holiday_code("ds")).alias("holiday"), past.alias("past")).alias("r"))
     packed = rows.repartition(task_count(long), "unique_id").groupBy("unique_id").agg(
         F.sort_array(F.collect_list("r")).alias("rows"))
     train = F.filter("rows", lambda r: r["past"])
@@ -210,7 +204,7 @@ def forecast_models(models: DataFrame, long: DataFrame, family: str, config: dic
     days = F.sequence(last_day + 7, last_day + 7 * horizon, F.lit(7))
     jobs = history.join(models.select("unique_id", "coefs"), "unique_id").filter("coefs is not null")
     jobs = jobs.withColumn("ahead", days).withColumn(
-        "ahead_holiday", F.transform("ahead", lambda d: holiday_code(F.date_from_unix_date(d))))
+        "ahead_holiday", F.expr(f"transform(ahead, d -> {holiday_code('date_from_unix_date(d)')})"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
