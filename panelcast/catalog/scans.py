@@ -11,35 +11,29 @@ from . import registry as r
 from .registry import query, text
 
 
-_csv_paths: dict[tuple, str] = {}
-
-
-def _csv_copy(spark, sf_dir, name, build, **options):
-    """The derived table in the published CSV layout, written once per session."""
-    key = (spark.sparkContext.applicationId, name, sf_dir)
-    if key not in _csv_paths:
-        path = staging.new_path(spark, f"csv-{name}")
-        build().write.options(header=True, nullValue="NA", **options).csv(path)
-        _csv_paths[key] = path
-    return _csv_paths[key]
+def _csv_copy(spark, name, build, **options):
+    """The derived table written in the published CSV layout."""
+    path = staging.new_path(spark, f"csv-{name}")
+    build.write.options(header=True, nullValue="NA", **options).csv(path)
+    return path
 
 
 @query("scan_fact", text(r.panel(), "SELECT Store, Dept, Date, Weekly_Sales, IsHoliday FROM panel"))
 def scan_fact(spark, sf_dir):
-    path = _csv_copy(spark, sf_dir, "train", lambda: tables.staged_fact(spark, sf_dir).select(
+    path = _csv_copy(spark, "train", tables.staged_fact(spark, sf_dir).select(
         "Store", "Dept", "Date", "Weekly_Sales", "IsHoliday"))
     return files.read_fact(spark, path)
 
 
 @query("scan_covariates", text(r.covariates(), "SELECT * FROM covariates"))
 def scan_covariates(spark, sf_dir):
-    path = _csv_copy(spark, sf_dir, "features", lambda: tables.staged_covariates(spark, sf_dir))
+    path = _csv_copy(spark, "features", tables.staged_covariates(spark, sf_dir))
     return files.read_covariates(spark, path)
 
 
 @query("scan_stores", text(r.stores(), "SELECT Store, Type, Size FROM stores"))
 def scan_stores(spark, sf_dir):
-    path = _csv_copy(spark, sf_dir, "stores", lambda: tables.staged_stores(spark, sf_dir), lineSep="\r")
+    path = _csv_copy(spark, "stores", tables.staged_stores(spark, sf_dir), lineSep="\r")
     return files.read_stores(spark, path)
 
 
@@ -48,10 +42,9 @@ TEMPLATE = text(r.panel(), r.CUT, "SELECT unique_id || '_' || strftime(Date, '%Y
 
 @query("scan_submission_template", TEMPLATE)
 def scan_submission_template(spark, sf_dir):
-    def build():
-        _, valid = split.time_split(tables.staged_fact(spark, sf_dir), tables.HORIZON)
-        return valid.select(submission_id().alias("Id"), F.lit(0.0).alias("Weekly_Sales"))
-    return files.read_template(spark, _csv_copy(spark, sf_dir, "template", build)).select("Id")
+    _, valid = split.time_split(tables.staged_fact(spark, sf_dir), tables.HORIZON)
+    template = valid.select(submission_id().alias("Id"), F.lit(0.0).alias("Weekly_Sales"))
+    return files.read_template(spark, _csv_copy(spark, "template", template)).select("Id")
 
 
 @query("scan_all_merged", text(r.panel(), r.covariates(), r.stores(), r.CUT, """

@@ -10,7 +10,6 @@ scanned three times, so write an expensive frame to a table first.
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BINS = 4096
@@ -18,6 +17,42 @@ ACCURACY = 10_000
 # Rows up to which one task may hold the whole column.
 SMALL = 200_000
 
+# brackets: values around each wanted rank, the full range for few rows.  The sketch is off by at
+#   most total / ACCURACY ranks and the bracket is three times as wide; a miss would cost time in
+#   the outer bins, not exactness.
+# located: histogram of the bracket with one bin on either side and the rank each bin starts at.
+# chosen: the bin that holds each rank.  Broadcast sides have a few rows per probability.
+SEARCH = """
+WITH sketch AS (
+  SELECT count(*) AS total, min(x) AS least, max(x) AS most,
+         percentile_approx(x, array(:edges), :accuracy) AS q FROM {rows}),
+brackets AS (SELECT total, inline(array(:items)) FROM sketch WHERE total > 0),
+ranks AS (
+  SELECT prob, place - floor(place) AS frac, explode(array_distinct(array(floor(place), ceil(place)))) AS rank
+  FROM (SELECT prob, prob * (total - 1) AS place FROM brackets)),
+placed AS (
+  SELECT /*+ BROADCAST(b) */ prob, x,
+    CASE WHEN x < lo THEN -1 WHEN x > hi THEN :bins
+         ELSE least(floor(coalesce((x - lo) / nullif(hi - lo, 0D), 0D) * :bins), :bins - 1) END AS bin
+  FROM {rows} CROSS JOIN brackets b),
+bins AS (SELECT prob, bin, count(*) AS n, min(x) AS lo, max(x) AS hi FROM placed GROUP BY prob, bin),
+located AS (
+  SELECT *, coalesce(sum(n) OVER (PARTITION BY prob ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM bins),
+chosen AS (
+  SELECT /*+ BROADCAST(r) */ l.prob, r.frac, r.rank, l.lo, l.hi, l.start
+  FROM located l JOIN ranks r ON l.prob = r.prob AND r.rank >= l.start AND r.rank < l.start + l.n),
+counted AS (
+  SELECT /*+ BROADCAST(c) */ c.prob, c.frac, c.rank, c.start, x, count(*) AS n
+  FROM {rows} JOIN chosen c ON x BETWEEN c.lo AND c.hi GROUP BY c.prob, c.frac, c.rank, c.start, x),
+seen AS (
+  SELECT *, start + sum(n) OVER (PARTITION BY prob, rank ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM counted),
+hit AS (SELECT prob, frac, rank, min(x) AS x FROM seen WHERE upto > rank GROUP BY prob, frac, rank),
+ends AS (SELECT prob, frac, min_by(x, rank) AS x0, max_by(x, rank) AS x1 FROM hit GROUP BY prob, frac)
+SELECT prob, x0 + (x1 - x0) * frac AS value FROM ends
+"""
+
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataFrame:
     """(prob, value) with linear interpolation between neighbours; NULL and NaN are ignored.
@@ -26,64 +61,16 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
     """
     raw = F.col(column).cast("double")
     rows = df.select(raw.alias("x")).filter(raw.isNotNull() & ~F.isnan(raw))
-    brackets = _brackets(rows, probs)
-    position = F.col("prob") * (F.col("total") - 1)
-    ranks = (
-        brackets.withColumn("frac", position - F.floor(position))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))))
-        .select("prob", "frac", "rank")
-    )
-    # A handful of rows per probability, whatever the data size.
-    bins = _bins(rows.crossJoin(F.broadcast(brackets)))
-    chosen = bins.join(F.broadcast(ranks), "prob").filter(
-        (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("n")))
-    chosen = chosen.select("prob", "frac", "rank", "lo", "hi", "start")
-    values = (
-        rows.join(F.broadcast(chosen), F.col("x").between(F.col("lo"), F.col("hi")))
-        .groupBy("prob", "frac", "rank", "start", "x").agg(F.count("*").alias("n"))
-    )
-    upto = W.partitionBy("prob", "rank").orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)
-    hit = (
-        values.withColumn("seen", F.col("start") + F.sum("n").over(upto))
-        .filter("seen > rank").groupBy("prob", "frac", "rank").agg(F.min("x").alias("x"))
-    )
-    ends = hit.groupBy("prob", "frac").agg(F.min_by("x", "rank").alias("x0"), F.max_by("x", "rank").alias("x1"))
-    return ends.select("prob", (F.col("x0") + (F.col("x1") - F.col("x0")) * F.col("frac")).alias("value"))
-
-
-def _brackets(rows: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """(prob, total, lo, hi): values around each wanted rank, the full range for few rows.
-
-    The sketch is off by at most total / ACCURACY ranks, so three times that on either side holds
-    the rank; a miss would cost time in the outer bins, not exactness.
-    """
     margin = 3.0 / ACCURACY
     edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)]
-    sketch = rows.agg(
-        F.count("*").alias("total"), F.min("x").alias("least"), F.max("x").alias("most"),
-        F.percentile_approx("x", edges, ACCURACY).alias("q")).filter("total > 0")
-    few = F.col("total") < 2 * ACCURACY
-    items = F.array(*[
-        F.struct(
-            F.lit(float(p)).alias("prob"),
-            F.when(few, F.col("least")).otherwise(F.col("q")[2 * i]).alias("lo"),
-            F.when(few, F.col("most")).otherwise(F.col("q")[2 * i + 1]).alias("hi"))
-        for i, p in enumerate(probs)])
-    return sketch.select("total", F.explode(items).alias("b")).select("total", "b.prob", "b.lo", "b.hi")
-
-
-def _bins(rows: DataFrame) -> DataFrame:
-    """(prob, lo, hi, n, start): histogram of the bracket with one bin on either side of it."""
-    width = F.col("hi") - F.col("lo")
-    share = F.coalesce((F.col("x") - F.col("lo")) / F.nullif(width, F.lit(0.0)), F.lit(0.0))
-    place = (
-        F.when(F.col("x") < F.col("lo"), -1).when(F.col("x") > F.col("hi"), BINS)
-        .otherwise(F.least(F.floor(share * BINS), F.lit(BINS - 1)))
-    )
-    bins = rows.withColumn("bin", place).groupBy("prob", "bin").agg(
-        F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    earlier = W.partitionBy("prob").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    return bins.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    few = f"total < {2 * ACCURACY}"
+    items = [
+        f"named_struct('prob', {float(p)}D, 'lo', IF({few}, least, q[{2 * i}]), 'hi', IF({few}, most, q[{2 * i + 1}]))"
+        for i, p in enumerate(probs)]
+    text = (
+        SEARCH.replace(":edges", ", ".join(f"{e!r}D" for e in edges)).replace(":items", ", ".join(items))
+        .replace(":accuracy", str(ACCURACY)).replace(":bins", str(BINS)))
+    return df.sparkSession.sql(text, rows=rows)
 
 
 def is_small(df: DataFrame, limit: int = SMALL) -> bool:

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -47,15 +48,19 @@ def write_once(df: DataFrame, name: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    """Table ``key`` of this session, built and written on first use."""
+    """Table ``key`` of this session, built and written on first use, or again if it is gone."""
     full = (spark.sparkContext.applicationId, *key)
-    if full not in _tables:
-        path = new_path(spark, "-".join(str(k).strip("/").replace("/", "_") for k in key))
-        df = build()
-        df.write.parquet(path)
-        _tables[full] = path, df.schema
-    path, schema = _tables[full]
-    return spark.read.schema(schema).parquet(path)
+    if full in _tables:
+        path, schema = _tables[full]
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException:
+            del _tables[full]
+    path = new_path(spark, "-".join(str(k).strip("/").replace("/", "_") for k in key))
+    df = build()
+    df.write.parquet(path)
+    _tables[full] = path, df.schema
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def forget() -> None:

@@ -160,3 +160,35 @@ def test_grid_sizes():
     for make in FAMILIES.values():
         labels = [c["label"] for c in make()]
         assert len(labels) == len(set(labels))
+
+
+def test_staged_table_is_built_once_and_again_when_gone(spark):
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3)
+
+    assert staging.staged(spark, ("t", "once"), build).count() == staging.staged(spark, ("t", "once"), build).count() == 3
+    assert len(calls) == 1
+    key = (spark.sparkContext.applicationId, "t", "once")
+    path, schema = staging._tables[key]
+    staging._tables[key] = path + "-gone", schema
+    assert staging.staged(spark, ("t", "once"), build).count() == 3 and len(calls) == 2
+
+
+def test_each_job_runs_end_to_end(spark):
+    import numpy as np
+
+    from panelcast.models import grids
+    from panelcast.operators import panel
+    from panelcast.plans import series_models
+
+    rng = np.random.default_rng(8)
+    rows = [(f"{s}_{d}", friday(i), float(100 * s + 10 * d + 20 * np.sin(i / 8.3) + rng.normal())) for s in range(1, 5) for d in (1, 2) for i in range(150)]
+    long = spark.createDataFrame(rows + [("9_9", friday(0), 1.0)], "unique_id string, ds date, y double")
+    configs = grids.pick(grids.additive(), "underfit_1", "balanced_1")
+    report = series_models.sweep(long, 39, "Additive", configs, 8).collect()
+    assert {r.label for r in report} == {"underfit_1", "balanced_1"} and all(r.val_wmae > 0 for r in report)
+    models = series_models.refit(long, 39, "Additive", configs[1])
+    assert models.filter("status = 'fitted'").count() == 8 and panel.last_date(long).count() == 9
