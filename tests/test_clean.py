@@ -96,3 +96,32 @@ def test_salted_lookup_equals_the_plain_join(spark):
     plain = sorted(map(tuple, fact.join(dim, "Store", "left").select("Store", "id", "Size").collect()), key=str)
     salted = sorted(map(tuple, joins.salted_lookup(fact, dim, ["Store"], 4, ["id"]).select("Store", "id", "Size").collect()), key=str)
     assert plain == salted
+
+
+def test_left_joins_keep_every_fact_row(spark, gappy):
+    fact = gappy[0].withColumn("unique_id", F.concat_ws("_", "Store", "Dept")).withColumn("ds", F.col("Date"))
+    n = fact.count()
+    cov = fact.filter("Store = 1 and Dept = 1").select("Store", "Date", "IsHoliday").withColumns({
+        c: F.lit(1.0) for c in ["CPI", "Unemployment", *[f"MarkDown{i}" for i in range(1, 6)]]})
+    stores = spark.createDataFrame([(1, "A", 5)], "Store int, Type string, Size int")
+    last = spark.createDataFrame([("1_1", 3.0)], "unique_id string, last_y double")
+    median = spark.createDataFrame([(2.0,)], "median_y double")
+    flags = fact.filter("Dept = 1").select("unique_id", "ds", "IsHoliday")
+    forecast = fact.filter("Store = 2").select("unique_id", "ds", F.lit(1.0).alias("prediction"))
+    results = [
+        joins.join_covariates_3key(fact, cov), joins.join_covariates_2key(fact, cov), joins.join_stores(fact, stores),
+        joins.join_store_onehot(fact, stores), joins.salted_lookup(fact, stores, ["Store"], 3, ["Date"]),
+        joins.join_forecast(fact, forecast), joins.join_holidays(fact.drop("IsHoliday"), joins.holiday_lookup(flags)),
+        joins.map_lookup(fact, last, "unique_id", "last_y"),
+        joins.with_fallbacks(fact.withColumn("prediction", F.lit(None).cast("double")), last, median)]
+    assert [r.count() for r in results] == [n] * len(results)
+    assert {r.prediction for r in results[-1].select("prediction").distinct().collect()} == {3.0, 2.0}
+
+
+def test_copies_of_a_store_week_change_nothing(spark):
+    """A third of all rows are copies of one store-week."""
+    rows_ = [(s, friday(i), None if (s + i) % 3 else float(i), 1.0, None, 2.0, None, None, None, False) for s in (1, 2) for i in range(30)]
+    schema = "Store int, Date date, CPI double, Unemployment double, MarkDown1 double, MarkDown2 double, MarkDown3 double, MarkDown4 double, MarkDown5 double, IsHoliday boolean"
+    plain = clean.store_date_features(spark.createDataFrame(rows_, schema), EVENTS)
+    copied = clean.store_date_features(spark.createDataFrame(rows_ + rows_[7:8] * 30, schema), EVENTS)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, copied.collect()))
