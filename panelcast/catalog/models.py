@@ -187,8 +187,7 @@ def basis_expansion(spark, sf_dir):
 def sweep_fit(spark, sf_dir):
     """Four configurations on every series of the dense panel -> ledger rows."""
     configs = grids.pick(grids.additive(), "underfit_1", "balanced_1", "balanced_8", "overfit_1")
-    fits = staging.write_once(_sweep(spark, sf_dir, "Additive", configs), "sweep")
-    return grouped.sweep_report(fits, grids.config_table(spark, configs))
+    return grouped.sweep_report(_sweep(spark, sf_dir, "Additive", configs), grids.config_table(spark, configs))
 
 
 @query("final_refit", text(r.panel("dense"), r.CUT, COMPLETE, """

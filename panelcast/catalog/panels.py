@@ -105,8 +105,7 @@ def covariate_sequence(spark, sf_dir):
 
 @query("shared_features", text(*feature_ctes(), "SELECT * FROM shared"))
 def shared_features(spark, sf_dir):
-    once = clean.shared_features(merged(spark, sf_dir), tables.EVENTS, ("Dept", "Date"))
-    return once
+    return clean.shared_features(merged(spark, sf_dir), tables.EVENTS, ("Dept", "Date"))
 
 
 LAGS = """round(s.roll_std_26, 2) AS roll_std_26_lag52, s.y AS lag_52, s.roll_mean_26 AS roll_mean_26_lag52"""

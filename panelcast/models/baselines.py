@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import fallback_chain
 from ..operators.aggregates import last_value_by_series
 from ..operators.lags import calendar_lags
-from ..operators.metrics import train_val_report
+from ..operators.metrics import run_report
 from ..operators.panel import future_grid
 from ..operators.quantiles import exact_median
 
@@ -78,15 +78,11 @@ def baseline_ledger(fact: DataFrame, cutoff: Column) -> DataFrame:
 
     A run in which more than half of the series needed the fallback counts as failed.
     """
-    scored = baseline_predictions(fact, cutoff)
-    errors = train_val_report(scored)
-    fell = scored.filter(~F.col("is_train")).groupBy("label", "unique_id").agg(
-        F.max(F.col("used_fallback").cast("int")).alias("fell")).groupBy("label").agg(
-        F.sum("fell").alias("fallback_series"), F.count("*").alias("series"))
+    report = run_report(baseline_predictions(fact, cutoff))
     runs = F.array(*[
         F.struct(F.lit(e).alias("experiment"), F.lit(k).alias("label"), F.lit(r).alias("regime"), F.lit(i).alias("seq"))
         for i, (e, k, r) in enumerate(BASELINE_RUNS)])
-    names = errors.join(fell, "label").withColumn("run", F.filter(runs, lambda x: x["label"] == F.col("label"))[0])
+    names = report.withColumn("run", F.filter(runs, lambda x: x["label"] == F.col("label"))[0])
     run_status = F.when(F.col("fallback_series") * 2 > F.col("series"), "FAILED").otherwise("FINISHED")
     return names.select(
         "run.seq", "run.experiment", "label", "run.regime", "train_wmae", "val_wmae", "gap_pct", "status",

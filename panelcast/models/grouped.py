@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import holiday_code
 from ..operators.joins import cross_configs
-from ..operators.metrics import train_val_report
+from ..operators.metrics import run_report
 from ..operators.panel import interpolate_linear, weekly_spine
 from . import solvers
 
@@ -162,11 +162,7 @@ def sweep_fit(
 
 def sweep_report(fits: DataFrame, configs: DataFrame) -> DataFrame:
     """Ledger rows: errors, gap, status and number of fallback series per configuration."""
-    fell = fits.filter(~F.col("is_train")).groupBy("label", "unique_id").agg(
-        F.max(F.col("used_fallback").cast("int")).alias("fell")).groupBy("label").agg(
-        F.sum("fell").alias("fallback_series"))
-    report = train_val_report(fits).join(fell, "label", "left")
-    return configs.select("label", "regime", "params").join(report, "label", "left")
+    return configs.select("label", "regime", "params").join(run_report(fits), "label", "left")
 
 
 def final_refit(long: DataFrame, family: str, config: dict) -> DataFrame:

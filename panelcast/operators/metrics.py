@@ -57,6 +57,25 @@ def train_val_report(scored: DataFrame, by: Sequence[str] = ("label",)) -> DataF
     return fit_report(scored.groupBy(*by).agg(side(True).alias("train_wmae"), side(False).alias("val_wmae")))
 
 
+def run_report(scored: DataFrame, key: str = "unique_id") -> DataFrame:
+    """Per label: errors, gap, status, series scored and series that fell back, in one pass.
+
+    Rows are (label, unique_id, is_train, IsHoliday, y, prediction, used_fallback); they are summed
+    per series first, so the second step moves one row per run and series.
+    """
+    w = holiday_weight("IsHoliday")
+    e = w * abs_error("y", "prediction")
+    held_out = ~F.col("is_train")
+    by_series = scored.groupBy("label", key).agg(
+        F.sum(F.when(~held_out, e)).alias("train_e"), F.sum(F.when(~held_out, w)).alias("train_w"),
+        F.sum(F.when(held_out, e)).alias("val_e"), F.sum(F.when(held_out, w)).alias("val_w"),
+        F.max(F.when(held_out, F.col("used_fallback").cast("int"))).alias("fell"))
+    out = by_series.groupBy("label").agg(
+        (F.sum("train_e") / F.sum("train_w")).alias("train_wmae"), (F.sum("val_e") / F.sum("val_w")).alias("val_wmae"),
+        F.sum("fell").alias("fallback_series"), F.count("fell").alias("series"))
+    return fit_report(out)
+
+
 def plausible(forecast: DataFrame, history: DataFrame, key: str = "unique_id", factor: float = PLAUSIBLE_FACTOR) -> DataFrame:
     """Per series: is the forecast finite, not empty and at most ``factor`` times the history?
 

@@ -18,7 +18,7 @@ def sweep(long: DataFrame, horizon: int, family: str, configs: Sequence[dict], n
     sample = split.stratified_sample(past, n_series, seed)
     table = grids.config_table(long.sparkSession, list(configs))
     fits = grouped.sweep_fit(joins.semi_join_ids(long, sample), cutoff, family, table)
-    return grouped.sweep_report(write_once(fits, "fits"), table)
+    return grouped.sweep_report(fits, table)
 
 
 def refit(long: DataFrame, horizon: int, family: str, config: dict) -> DataFrame:
