@@ -4,7 +4,6 @@ A frame that several branches of a job read is written once as Parquet and read
 ends there, a lost executor costs one task, and later scans prune columns and know their size.
 """
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,21 +11,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-_local_folder: dict[str, str] = {}
 _tables: dict[tuple, tuple[str, StructType]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder of ``spark.checkpoint.dir``; a temporary one only for a local master."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every node can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folder:
-        _local_folder[app] = tempfile.mkdtemp(prefix="panelcast-")
-    return _local_folder[app]
+    """Folder every node can reach: ``spark.checkpoint.dir``, else the context's checkpoint folder, else the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
