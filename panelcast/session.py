@@ -3,12 +3,15 @@
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "panelcast", master: str | None = None, partitions: int | None = None) -> SparkSession:
+def build_session(app: str = "panelcast", master: str | None = None, partitions: int | None = None,
+                  shared: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     return (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
