@@ -7,17 +7,24 @@ from panelcast.llm import bpe, lines, mixing, queries, rules, simhash
 from panelcast.sources.staging import write_once
 
 
+def apart(docs: DataFrame, operator, *results: str) -> DataFrame:
+    """Columns of ``docs`` and ``results`` (as ``new__...``) of ``operator``, whose other names cannot clash with them."""
+    own = {c: c if c in ("doc_id", "text", "source") else f"own__{c}" for c in docs.columns}
+    out = operator(docs.withColumnsRenamed(own))
+    return out.select(*[F.col(v).alias(k) for k, v in own.items()], *[F.col(r).alias(f"new__{r}") for r in results])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules and whose host does."""
-    return rules.apply_rules(docs).where("kept").select(*docs.columns)
+    return apart(docs, rules.apply_rules, "kept").where("new__kept").drop("new__kept")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines whose template recurs; ``n_chars`` follows the text."""
-    out = lines.drop_lines(docs)
+    out = apart(docs, lines.drop_lines)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,12 +37,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their files and rows in the order of the mixture."""
-    return mixing.mixed(docs).orderBy("place").select(*docs.columns)
+    return apart(docs, mixing.mixed, "place").orderBy("new__place").drop("new__place")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the hash of what they decode to."""
-    out = bpe.encode(docs, queries.vocabulary(), queries.SPECIAL, with_ids=True)
+    out = bpe.encode(docs.select("doc_id", "source", "text"), queries.vocabulary(), queries.SPECIAL, with_ids=True)
     return out.select("doc_id", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 

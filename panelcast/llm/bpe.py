@@ -6,7 +6,7 @@ until both sides agree with it: on each side there must be a place from which th
 and the side's tokens are sure to be those of the joined text.  Such a place is
 
 * a letter followed by an ASCII character that is no letter: no token spans it, and what follows is
-  encoded without regard to what came before; or
+  encoded without regard to what came before (places inside a special string are left out); or
 * inside a run of letters without such a place, the edge of a token that both encodings have.
   A run's tokens are its encoding if each two neighbours are the encoding of the two together,
   and all neighbours in the joined row are neighbours in one of the two encodings.
@@ -88,6 +88,11 @@ def _edges(text: str, lo: int, hi: int, special) -> list[int]:
     return out
 
 
+def _plain_run(text: str, a: int, b: int, special) -> bool:
+    """Whether text[a:b] is letters only and no special string reaches into it."""
+    return bool(RUN.fullmatch(text, a, b)) and not any(text.find(s, max(a - len(s) + 1, 0), b + len(s) - 1) >= 0 for s in special)
+
+
 def join(c: Codec, text: str, at: int, left: list[int], right: list[int], window: int = WINDOW) -> list[int]:
     """Ids of ``text`` from those of ``text[:at]`` and ``text[at:]``."""
     left_end, right_end = c.ends(left), c.ends(right)
@@ -112,7 +117,7 @@ def join(c: Codec, text: str, at: int, left: list[int], right: list[int], window
                 i, j = left_place.get(byte(p)), place.get(byte(p))
                 if i and j and left[i - 1] == ids[j - 1]:
                     return i, j
-            if RUN.fullmatch(text, lo, at):
+            if _plain_run(text, lo, at, c.special):
                 for j in range(len(ids) - 1, 1, -1):  # ids[j - 1] ends here, and is not the window's first
                     i = left_place.get(int(end[j - 1]))
                     if end[j - 1] < n_left and i and left[i - 1] == ids[j - 1]:
@@ -125,7 +130,7 @@ def join(c: Codec, text: str, at: int, left: list[int], right: list[int], window
                 j, i = place.get(byte(p)), right_place.get(byte(p) - n_left)
                 if j is not None and i is not None and j < len(ids) and i < len(right) and right[i] == ids[j]:
                     return j, i
-            if RUN.fullmatch(text, at, hi):
+            if _plain_run(text, at, hi, c.special):
                 for j in range(1, len(ids) - 1):
                     i = right_place.get(int(end[j - 1]) - n_left)
                     if end[j - 1] > n_left and i is not None and i < len(right) and right[i] == ids[j]:

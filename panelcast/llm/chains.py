@@ -22,7 +22,7 @@ SPACE_BITS = 22
 FOLDS = 3
 #: A word is used if the chi-square of its presence with the category reaches this, in so many rows.
 MIN_CHI2, MIN_ROWS, MAX_WORDS = 20.0, 4, 4096
-PENALTY, STEPS = 1.0, 40
+PENALTY, STEPS = 0.2, 40
 EDGES = b".,;:!?\"'()[]{}<>*#$%&|-_"
 
 
@@ -137,7 +137,7 @@ def apply_chain(chain: list[dict], rows: Rows) -> np.ndarray:
     return extra
 
 
-def classify(docs: DataFrame, labels: DataFrame, categories: list[str], learn_from=None, threshold: float = 0.5,
+def classify(docs: DataFrame, labels: DataFrame, categories: list[str], learn_from=None, threshold: float = 0.3,
              fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, p_<category> ..., <category> ...) of every row, in the order of the chain.
 

@@ -117,12 +117,12 @@ units AS (
   FROM ideal),
 listed AS (SELECT list(name ORDER BY name) AS names, list(units ORDER BY name) AS u FROM units),
 run(t, done, pick) AS (
-  SELECT -1, list_transform(u, x -> CAST(0 AS BIGINT)), CAST(NULL AS BIGINT) FROM listed
+  SELECT -1, list_transform(u, lambda x: CAST(0 AS BIGINT)), CAST(NULL AS BIGINT) FROM listed
   UNION ALL
-  SELECT t + 1, list_transform(done, (n, i) -> n + CASE WHEN i = p THEN 1 ELSE 0 END), p
+  SELECT t + 1, list_transform(done, lambda n, i: n + CASE WHEN i = p THEN 1 ELSE 0 END), p
   FROM (SELECT run.t, run.done,
-               list_min(list_transform(list_filter(range(1, len(u) + 1), i -> done[i] * {period} // u[i] <= t + 1 AND done[i] < u[i]),
-                 i -> [((done[i] + 1) * {period} + u[i] - 1) // u[i], i]))[2] AS p
+               list_min(list_transform(list_filter(range(1, len(u) + 1), lambda i: done[i] * {period} // u[i] <= t + 1 AND done[i] < u[i]),
+                 lambda i: [((done[i] + 1) * {period} + u[i] - 1) // u[i], i]))[2] AS p
         FROM run, listed WHERE t < {period} - 1)),
 schedule AS (
   SELECT names[pick] AS name, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn, t AS slot FROM run, listed WHERE pick IS NOT NULL),

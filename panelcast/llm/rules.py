@@ -120,13 +120,14 @@ def apply_rules(docs: DataFrame, host_col: str = "source", text_col: str = "text
     host = F.struct(F.col(host_col).isNull().alias("missing"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("name"))
 
     def stats(*cols):
-        return (docs.withColumn("__s", stats_column(F.col(text_col)))
-                .select(*cols, *[F.col(f"__s.{c}").alias(c) for c in STATS], host.alias("__host")))
+        return (docs.select(*cols, stats_column(F.col(text_col)).alias("__rule_stats"), host.alias("__rule_host"))
+                .select(*cols, *[F.col(f"__rule_stats.{c}").alias(c) for c in STATS], "__rule_host"))
 
-    verdict = write_once(host_verdicts(stats(), "__host", rules, max_rate), "verdicts")
+    verdict = write_once(host_verdicts(stats(), "__rule_host", rules, max_rate), "verdicts").select(
+        "__rule_host", F.col("host_rate").alias("__rule_rate"), F.col("host_rejected").alias("__rule_rejected"))
     failed = F.lit(False)
     for sql in rules.values():
         failed = failed | F.expr(sql)
-    return (stats(*old).join(verdict, "__host", "left")
-            .withColumn("base_failed", F.expr(RULES["base"])).withColumn("kept", ~failed & ~F.col("host_rejected") & ~F.col("base_failed"))
-            .select(*old, *new))
+    return (stats(*old).join(verdict, "__rule_host", "left")
+            .select(*old, *STATS, F.expr(RULES["base"]).alias("base_failed"), F.col("__rule_rate").alias("host_rate"),
+                    (~failed & ~F.expr(RULES["base"]) & ~F.col("__rule_rejected")).alias("kept")))

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ STEP_WORDS = 300_000
 #: Windows that a task gathers before it hands them to the shuffle.
 FLUSH_WINDOWS = 1_500_000
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: A window's place: document, tag of the text, number of words before it.
+ROW = {"d": np.int64, "t": np.uint32, "p": np.int32}
 
 
 def _steps(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
@@ -83,26 +86,25 @@ def _dominated(h, k, d):
     return order, d > d[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else np.zeros(0, bool)
 
 
-def _settled(doc, place) -> Iterator[dict]:
-    """Rows of windows already known to be repeated, cut by document."""
-    if len(doc):
-        yield {"d": np.ascontiguousarray(doc).tobytes(), "p": np.ascontiguousarray(place).tobytes()}
+def text_tag(text: str) -> int:
+    """Tells rows with one id apart."""
+    return xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
 def _level_two(window: int, half: int, bits: int):
-    names = ["chunk", "h", "k", "d", "p", "known"]
+    names = ["chunk", "h", "k", "d", "t", "p", "known"]
 
     def flush(parts):
-        h, k, d, p = (np.concatenate(x) for x in zip(*parts))
+        h, k, d, t, p = (np.concatenate(x) for x in zip(*parts))
         order, later = _dominated(h, k, d)
-        h, k, d, p = h[order], k[order], d[order], p[order]
+        h, k, d, t, p = h[order], k[order], d[order], t[order], p[order]
         out = []
         for known in (True, False):
             take = later if known else ~later
-            a, b, e, f = h[take], k[take], d[take], p[take]
+            a, b, *own = h[take], k[take], d[take], t[take], p[take]
             for c, s in chunks(a, bits):
                 keys = (b"", b"") if known else (a[s].tobytes(), b[s].tobytes())
-                out.append((c, *keys, e[s].tobytes(), f[s].tobytes(), known))
+                out.append((c, *keys, *(x[s].tobytes() for x in own), known))
         return pd.DataFrame(out, columns=names)
 
     def run(batches):
@@ -121,7 +123,8 @@ def _level_two(window: int, half: int, bits: int):
                 continue
             doc = np.searchsorted(at, start, "right") - 1
             ids = np.array([r.doc_id for r in rows], np.int64)
-            parts.append((window_hashes(h, window)[start], window_hashes(h, window, 1)[start].astype(np.uint32), ids[doc],
+            tags = np.array([text_tag(r.text) for r in rows], np.uint32)
+            parts.append((window_hashes(h, window)[start], window_hashes(h, window, 1)[start].astype(np.uint32), ids[doc], tags[doc],
                           (start - at[doc]).astype(np.int32)))
             n += len(start)
             if n >= FLUSH_WINDOWS:
@@ -136,27 +139,27 @@ def _compare(buckets: int):
     """Windows of one chunk that a smaller document holds, by bucket of documents."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         asked, known = pdf[~pdf["known"]], pdf[pdf["known"]]
-        h, k, d, p = (gather(asked[c], t) for c, t in (("h", np.uint64), ("k", np.uint32), ("d", np.int64), ("p", np.int32)))
-        order, later = _dominated(h, k, d)
+        h, k = gather(asked["h"], np.uint64), gather(asked["k"], np.uint32)
+        order, later = _dominated(h, k, gather(asked["d"], np.int64))
         hit = order[later]
-        d, p = np.r_[d[hit], gather(known["d"], np.int64)], np.r_[p[hit], gather(known["p"], np.int32)]
+        d, t, p = (np.r_[gather(asked[c], kind)[hit], gather(known[c], kind)] for c, kind in ROW.items())
         bucket = d % buckets
-        order = np.lexsort((p, d, bucket))
-        d, p, bucket = d[order], p[order], bucket[order]
+        order = np.lexsort((p, t, d, bucket))
+        d, t, p, bucket = d[order], t[order], p[order], bucket[order]
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(d) else []
-        out = [(int(bucket[a]), d[a:b].tobytes(), p[a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(d)])]
-        return pd.DataFrame(out, columns=["bucket", "d", "p"])
+        out = [(int(bucket[a]), d[a:b].tobytes(), t[a:b].tobytes(), p[a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(d)])]
+        return pd.DataFrame(out, columns=["bucket", *ROW])
     return run
 
 
 def _starts(pdf: pd.DataFrame) -> pd.DataFrame:
     """One row a document: where its repeated windows start."""
-    d, p = gather(pdf["d"], np.int64), gather(pdf["p"], np.int32)
-    order = np.lexsort((p, d))
-    d, p = d[order], p[order]
-    starts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-    out = [(int(d[a]), p[a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(d)])]
-    return pd.DataFrame(out, columns=["id", "starts"])
+    d, t, p = (gather(pdf[c], kind) for c, kind in ROW.items())
+    order = np.lexsort((p, t, d))
+    d, t, p = d[order], t[order], p[order]
+    starts = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (t[1:] != t[:-1])])
+    out = [(int(d[a]), int(t[a]), p[a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(d)])]
+    return pd.DataFrame(out, columns=["id", "tag", "starts"])
 
 
 def _cut(text, starts, window: int) -> tuple[list[bytes], int]:
@@ -172,9 +175,9 @@ def _cut(text, starts, window: int) -> tuple[list[bytes], int]:
 
 
 def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, starts): places of the ``window``-word sequences that also start in a document with a smaller id.
+    """(id, tag, starts): places of the ``window``-word sequences that also start in a document with a smaller id.
 
-    ``starts`` holds 32-bit integers.  Rows without an id neither lose windows nor take any away.
+    ``starts`` holds 32-bit integers; ``tag`` is a hash of the text, for rows that share an id.  Rows without an id neither lose windows nor take any away.
     Windows are told apart by 96 bits of hash over 64-bit word hashes.  A window that many
     documents hold is reduced to its smallest document inside each task before the shuffle, and all
     rows travel in blobs keyed by the window's hash, so no key gathers its documents in one place.
@@ -188,9 +191,9 @@ def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     repeated = anchors.groupBy("half").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("half")
     alive = anchors.join(repeated, "half").groupBy("doc_id").agg(F.collect_set("half").alias("halves"))
     asked = own.join(alive, "doc_id").mapInPandas(
-        _level_two(window, half, bits), "chunk long, h binary, k binary, d binary, p binary, known boolean")
-    later = asked.groupBy("chunk").applyInPandas(_compare(1 << bits), "bucket long, d binary, p binary")
-    return later.groupBy("bucket").applyInPandas(_starts, "id long, starts binary")
+        _level_two(window, half, bits), "chunk long, h binary, k binary, d binary, t binary, p binary, known boolean")
+    later = asked.groupBy("chunk").applyInPandas(_compare(1 << bits), "bucket long, d binary, t binary, p binary")
+    return later.groupBy("bucket").applyInPandas(_starts, "id long, tag long, starts binary")
 
 
 def without_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,14 +208,14 @@ def without_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
     # The result is read by one scan, so a lost task repeats that scan and not the comparison.
     spans = write_once(repeated_windows(docs, window, id_col, text_col), "spans")
     new = ["n_words", "n_removed", "kept_sha256", "kept_text"]
-    joined = docs.drop(*new).join(spans.withColumnsRenamed({"id": "__id", "starts": "__starts"}),
-                                  F.col(id_col).cast("long") == F.col("__id"), "left").drop("__id")
+    by_id = spans.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("tag", "starts"))).alias("__starts"))
+    joined = docs.drop(*new).join(by_id.withColumnRenamed("id", "__id"), F.col(id_col).cast("long") == F.col("__id"), "left")
 
     @F.pandas_udf("n_words long, n_removed long, kept_sha256 string, kept_text string")
     def cut(text: pd.Series, starts: pd.Series) -> pd.DataFrame:
         out = []
         for t, s in zip(text, starts):
-            left, n = _cut(t, s, window)
+            left, n = _cut(t, dict(s).get(text_tag(t)) if s and t else None, window)
             kept = b" ".join(left)
             out.append((n, n - len(left), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
         return pd.DataFrame(out, columns=new)
