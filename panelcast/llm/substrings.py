@@ -136,8 +136,8 @@ def _level_two(window: int, half: int, bits: int):
 
 
 def _compare(buckets: int):
-    """Windows of one chunk that a smaller document holds, by bucket of documents."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Windows that a smaller document holds, by bucket of documents; rows come in the order of chunks."""
+    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         asked, known = pdf[~pdf["known"]], pdf[pdf["known"]]
         h, k = gather(asked["h"], np.uint64), gather(asked["k"], np.uint32)
         order, later = _dominated(h, k, gather(asked["d"], np.int64))
@@ -149,6 +149,18 @@ def _compare(buckets: int):
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(d) else []
         out = [(int(bucket[a]), d[a:b].tobytes(), t[a:b].tobytes(), p[a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(d)])]
         return pd.DataFrame(out, columns=["bucket", *ROW])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n, last = [], 0, None
+        for pdf in batches:
+            for chunk, part in pdf.groupby("chunk"):
+                if chunk != last and n >= FLUSH_WINDOWS:
+                    yield settle(pd.concat(held))
+                    held, n = [], 0
+                held.append(part)
+                n, last = n + sum(map(len, part["p"])) // 4, chunk
+        if held:
+            yield settle(pd.concat(held))
     return run
 
 
@@ -192,7 +204,10 @@ def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     alive = anchors.join(repeated, "half").groupBy("doc_id").agg(F.collect_set("half").alias("halves"))
     asked = own.join(alive, "doc_id").mapInPandas(
         _level_two(window, half, bits), "chunk long, h binary, k binary, d binary, t binary, p binary, known boolean")
-    later = asked.groupBy("chunk").applyInPandas(_compare(1 << bits), "bucket long, d binary, t binary, p binary")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    # a task answers for many chunks at once, and buckets are larger than chunks, so that blobs stay few
+    later = asked.repartition(n, "chunk").sortWithinPartitions("chunk").mapInPandas(
+        _compare(1 << max(bits - 4, 0)), "bucket long, d binary, t binary, p binary")
     return later.groupBy("bucket").applyInPandas(_starts, "id long, tag long, starts binary")
 
 
