@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-WORD_CACHE = 1_000_000
+WORD_CACHE = 300_000
 
 
 def words(text: str | None, lower: bool = False) -> list[bytes]:

@@ -23,6 +23,7 @@ def held(i, n, k):
 @pytest.mark.parametrize("slice_mb", [256, 0])
 def test_base_score_equals_brute_force(small, odd, slice_mb, monkeypatch):
     monkeypatch.setattr(bloom_lm, "STEP_TOKENS", 5000)
+    monkeypatch.setattr(bloom_lm, "SCORE_TOKENS", 3000)
     for docs in (small, odd):
         docs = clashing(docs, ["n_tokens", "score"]).withColumn("held_out", F.coalesce(queries.fold() == 1, F.lit(False)))
         rows = docs.collect()
