@@ -60,14 +60,13 @@ def robust_scale_series(spark, sf_dir):
 # boosted trees
 
 def _boost_parts(spark, sf_dir):
-    def build():
+    """Training rows with every feature known, and all validation rows, with 0 for what is not known yet."""
+    def build(train):
         fact = merged(spark, sf_dir, "dense")
         cutoff = split.cutoff_value(_fact(spark, sf_dir), tables.HORIZON)
-        frame = lags.positional_feature_frame(fact, tables.EVENTS, cutoff=cutoff, drop_missing=False)
-        return frame.withColumn("is_train", F.col("Date") < cutoff)
-    frame = staging.staged(spark, ("boost_frame", sf_dir), build)
-    # Training rows need a real yearly lag; validation rows keep 0 where nothing is known yet.
-    return frame.filter("is_train and lag_52 > 0"), frame.filter("not is_train")
+        frame = lags.positional_feature_frame(fact, tables.EVENTS, cutoff=cutoff, drop_missing=train)
+        return frame.filter(F.col("Date") < cutoff if train else F.col("Date") >= cutoff)
+    return tuple(staging.staged(spark, ("boost_frame", sf_dir, part), lambda: build(part == "train")) for part in ("train", "valid"))
 
 
 def _tree_parts(spark, sf_dir):

@@ -79,7 +79,9 @@ def fitted_series(family, cfg, coefs, days, y, holidays) -> np.ndarray:
         return solvers.arma_fitted(y, coefs, cfg)
     if family == "Additive":
         return solvers.additive_predict(days, holidays, coefs, cfg)
-    return solvers.basis_predict(days, coefs, cfg)
+    out = solvers.basis_predict(days, coefs, cfg)
+    out[:-cfg["input_size"]] = np.nan  # the fit has not seen these weeks
+    return out
 
 
 def on_weekly_grid(days: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -107,8 +109,10 @@ def _one(family: str, cfg: dict, row, min_train: int) -> dict[str, np.ndarray]:
                 coefs = fit_series(family, cfg, fit_days, fit_y, fit_hol)
                 ahead_values = forecast_series(family, cfg, coefs, fit_days, fit_y, ahead, ahead_hol)
                 inside = fitted_series(family, cfg, coefs, fit_days if recursive else days, fit_y if recursive else y, hol)
-            if solvers.is_plausible(ahead_values, known):
+            plausible = solvers.is_plausible(ahead_values, known)
+            if plausible:
                 forecast, failed = ahead_values, False
+            if plausible or recursive:
                 fitted = inside[((days - days[0]) / 7).astype(int)] if recursive else inside
         except (ValueError, np.linalg.LinAlgError):
             pass

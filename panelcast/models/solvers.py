@@ -89,12 +89,12 @@ def arma_forecast(y: np.ndarray, coefs: np.ndarray, cfg: dict, steps: int) -> np
 
 
 def arma_fitted(y: np.ndarray, coefs: np.ndarray, cfg: dict) -> np.ndarray:
-    """One-step fitted values; the first weeks, which have no full history, equal the data."""
+    """One-step fitted values; NaN in the first weeks, which have no full history."""
     ar, ma, d, sd, period, const = _orders(cfg)
     z = difference(y, d, sd, period)
-    e = _residuals(z, coefs, ar, ma, const)
-    fitted = y.copy()
-    fitted[len(y) - len(z):] -= e
+    reach, shift = max(ar + ma + [0]), len(y) - len(z)
+    fitted = np.full(len(y), np.nan)
+    fitted[shift + reach:] = y[shift + reach:] - _residuals(z, coefs, ar, ma, const)[reach:]
     return fitted
 
 

@@ -61,13 +61,15 @@ def run_report(scored: DataFrame, key: str = "unique_id") -> DataFrame:
     """Per label: errors, gap, status, series scored and series that fell back, in one pass.
 
     Rows are (label, unique_id, is_train, IsHoliday, y, prediction, used_fallback); they are summed
-    per series first, so the second step moves one row per run and series.
+    per series first, so the second step moves one row per run and series.  Training rows without
+    a fitted value (a series on its fallback, weeks before the model's reach) are not scored.
     """
     w = holiday_weight("IsHoliday")
     e = w * abs_error("y", "prediction")
     held_out = ~F.col("is_train")
+    fitted = F.col("is_train") & F.col("prediction").isNotNull() & ~F.isnan("prediction")
     by_series = scored.groupBy("label", key).agg(
-        F.sum(F.when(~held_out, e)).alias("train_e"), F.sum(F.when(~held_out, w)).alias("train_w"),
+        F.sum(F.when(fitted, e)).alias("train_e"), F.sum(F.when(fitted, w)).alias("train_w"),
         F.sum(F.when(held_out, e)).alias("val_e"), F.sum(F.when(held_out, w)).alias("val_w"),
         F.max(F.when(held_out, F.col("used_fallback").cast("int"))).alias("fell"))
     out = by_series.groupBy("label").agg(

@@ -14,17 +14,14 @@ from pyspark.sql import functions as F
 
 BINS = 4096
 ACCURACY = 10_000
-# Rows up to which one task may hold the whole column.
-SMALL = 200_000
 
-# brackets: values around each wanted rank, the full range for few rows.  The sketch is off by at
-#   most total / ACCURACY ranks and the bracket is three times as wide; a miss would cost time in
+# brackets: values around each wanted rank.  The sketch is off by at most total / ACCURACY ranks and the bracket is three times as wide; a miss would cost time in
 #   the outer bins, not exactness.
 # located: histogram of the bracket with one bin on either side and the rank each bin starts at.
 # chosen: the bin that holds each rank.  Broadcast sides have a few rows per probability.
 SEARCH = """
 WITH sketch AS (
-  SELECT count(*) AS total, min(x) AS least, max(x) AS most,
+  SELECT count(*) AS total,
          percentile_approx(x, array(:edges), :accuracy) AS q FROM {rows}),
 brackets AS (SELECT total, inline(array(:items)) FROM sketch WHERE total > 0),
 ranks AS (
@@ -63,27 +60,13 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
     rows = df.select(raw.alias("x")).filter(raw.isNotNull() & ~F.isnan(raw))
     margin = 3.0 / ACCURACY
     edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)]
-    few = f"total < {2 * ACCURACY}"
-    items = [
-        f"named_struct('prob', {float(p)}D, 'lo', IF({few}, least, q[{2 * i}]), 'hi', IF({few}, most, q[{2 * i + 1}]))"
-        for i, p in enumerate(probs)]
+    items = [f"named_struct('prob', {float(p)}D, 'lo', q[{2 * i}], 'hi', q[{2 * i + 1}])" for i, p in enumerate(probs)]
     text = (
         SEARCH.replace(":edges", ", ".join(f"{e!r}D" for e in edges)).replace(":items", ", ".join(items))
         .replace(":accuracy", str(ACCURACY)).replace(":bins", str(BINS)))
     return df.sparkSession.sql(text, rows=rows)
 
 
-def is_small(df: DataFrame, limit: int = SMALL) -> bool:
-    """Does the frame have at most ``limit`` rows?  One distributed count, nothing is moved."""
-    return df.count() <= limit
-
-
-def exact_median(df: DataFrame, column: str, name: str = "median", small: int = SMALL) -> DataFrame:
-    """One row with the exact median; NULL for an empty column.
-
-    A column of checked small size uses the built-in aggregate, a larger one the search above.
-    """
-    if is_small(df.select(column), small):
-        x = F.col(column).cast("double")
-        return df.agg(F.median(F.when(~F.isnan(x), x)).alias(name))
+def exact_median(df: DataFrame, column: str, name: str = "median") -> DataFrame:
+    """One row with the exact median; NULL for an empty column.  Values must be finite."""
     return exact_quantiles(df, column, [0.5]).agg(F.max("value").alias(name))

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles, is_small
+from .quantiles import exact_quantiles
 
 
 def cutoff_date(df: DataFrame, valid_weeks: int, date: str = "Date") -> DataFrame:
@@ -50,23 +50,19 @@ def stratified_sample(
     """``n_series // 4`` series from each quartile of mean sales.
 
     Quartile edges are interpolated and right-closed.  The draw orders by a seeded hash, so it
-    does not depend on partitioning; the row limit per quartile is applied on the map side too.
+    does not depend on partitioning; each quartile is a top-n of its own.
     """
     means = long.groupBy(key).agg(F.avg(target).alias("mean_y")).filter("mean_y is not null")
-    probs = [0.25, 0.5, 0.75]
-    if is_small(means):
-        edges = means.agg(F.percentile("mean_y", probs).alias("edges"))
-    else:
-        edges = exact_quantiles(means, "mean_y", probs).agg(
-            F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("e")).select(F.col("e.value").alias("edges"))
+    edges = exact_quantiles(means, "mean_y", [0.25, 0.5, 0.75]).agg(
+        F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("e")).select(F.col("e.value").alias("edges"))
     banded = means.crossJoin(F.broadcast(edges)).withColumn(
         "quartile",
         F.when(F.col("mean_y") <= F.col("edges")[0], 0).when(F.col("mean_y") <= F.col("edges")[1], 1)
         .when(F.col("mean_y") <= F.col("edges")[2], 2).otherwise(3))
-    draw = F.md5(F.concat_ws("|", F.col(key), F.lit(str(seed))))
-    w = W.partitionBy("quartile").orderBy("_draw", key)
-    picked = banded.withColumn("_draw", draw).withColumn("_rn", F.row_number().over(w))
-    return picked.filter(F.col("_rn") <= n_series // 4).select(key, "quartile")
+    drawn = banded.withColumn("_draw", F.md5(F.concat_ws("|", F.col(key), F.lit(str(seed)))))
+    # one bounded top-n a quartile: no task sees more than its own rows and the winners
+    picked = [drawn.filter(F.col("quartile") == q).orderBy("_draw", key).limit(n_series // 4).select(key, "quartile") for q in range(4)]
+    return picked[0].union(picked[1]).union(picked[2]).union(picked[3])
 
 
 def backtest_window(

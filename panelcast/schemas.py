@@ -74,7 +74,10 @@ CALENDAR_FEATURES = (
     ["Store", "Dept"] + FUTURE_COLUMNS[:10] + ["Size"] + _TYPE_FLAGS
     + CALENDAR_COLUMNS + CALENDAR_LAG_COLUMNS
 )
-POSITIONAL_FEATURES = (
-    POSITIONAL_LAG_COLUMNS + CALENDAR_COLUMNS + _TYPE_FLAGS + ["Size"]
-    + FUTURE_COLUMNS[:10] + ["Store", "Dept"]
-)
+# The published features, in the published order.
+POSITIONAL_FEATURES = [
+    "lag_26", "lag_52", "rolling_mean_4", "rolling_mean_13", "rolling_mean_26", "rolling_std_4", "rolling_std_13",
+    "rolling_std_26", "WeekOfYear", "Month", "Year", "Type_A", "Type_B", "Type_C", "Size", "IsHoliday", "DaysSinceLastHoliday",
+    "DaysToNextHoliday", "Fuel_Price", "Temperature", "CPI", "Unemployment", "MarkDown1", "MarkDown2", "MarkDown3", "MarkDown4",
+    "MarkDown5", "Store", "Dept",
+]

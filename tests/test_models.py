@@ -92,6 +92,22 @@ def test_sweep_on_known_series(spark, long, cutoff, family, config, series, boun
     assert (fits.groupby("unique_id").size() == [200, 200 - 14, 50, 200]).all()
 
 
+@pytest.mark.parametrize("family, config", [
+    ("Additive", grids.pick(grids.additive(), "balanced_1")[0]), ("ARIMA", grids.pick(grids.arima(), "balanced_9")[0])])
+def test_failing_series_leave_the_training_error_alone(spark, long, cutoff, family, config):
+    configs = grids.config_table(spark, [config])
+    whole, part = (grouped.sweep_report(grouped.sweep_fit(x, cutoff, family, configs), configs).first()
+                   for x in (long, long.filter("unique_id != '2_1'")))
+    assert whole.fallback_series == 1 and part.fallback_series == 0
+    assert abs(whole.train_wmae - part.train_wmae) < 1e-9
+
+
+def test_weeks_without_history_have_no_fit():
+    y = np.cumsum(np.arange(30.0))
+    fitted = solvers.arma_fitted(y, solvers.arma_fit(y, {"order": (2, 1, 0)}), {"order": (2, 1, 0)})
+    assert np.isnan(fitted[:3]).all() and np.isfinite(fitted[3:]).all()
+
+
 def test_sweep_report_counts_fallbacks(spark, long, cutoff):
     configs = grids.config_table(spark, grids.pick(grids.additive(), "underfit_1", "balanced_1"))
     report = grouped.sweep_report(grouped.sweep_fit(long, cutoff, "Additive", configs), configs)
