@@ -48,7 +48,7 @@ def op5_simhash(spark, sf_dir):
 
 
 def op6_substring_dedup(spark, sf_dir):
-    return substrings.without_repeats(documents(spark, sf_dir).select("doc_id", "text")).select(
+    return substrings.without_repeats(documents(spark, sf_dir).select("doc_id", "text"), with_text=False).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 

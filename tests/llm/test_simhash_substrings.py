@@ -114,6 +114,11 @@ def test_repeated_windows_equal_brute_force(request, table, window, monkeypatch)
     docs = request.getfixturevalue(table)
     want = plain_removal([(r.doc_id, r.text) for r in docs.collect()], window)
     out = substrings.without_repeats(clashing(docs, ["n_words", "kept_text", "id", "starts", "half"]), window)
-    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out.collect()), key=str)
+    found = out.collect()
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found), key=str)
     assert got == want
+    assert sorted(str(r.text) for r in found) == sorted(str(r.text) for r in docs.collect())
+    assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in found)
+    plain = substrings.without_repeats(docs, window, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, plain), key=str) == want
     assert sum(x[2] for x in want) > 0
