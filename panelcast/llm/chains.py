@@ -17,7 +17,7 @@ from ..sources.staging import write_once
 from .words import words
 
 #: Labelled rows that a fit takes at most, by a hash of the id.
-FIT_ROWS = 30_000
+FIT_ROWS = 20_000
 SPACE_BITS = 22
 FOLDS = 3
 #: A word is used if the chi-square of its presence with the category reaches this, in so many rows.
