@@ -169,23 +169,23 @@ def per_series_arma(spark, sf_dir):
 
 @query("per_series_seasonal_ar")
 def per_series_seasonal_ar(spark, sf_dir):
-    return _held_out(_sweep(spark, sf_dir, "SARIMA", grids.pick(grids.seasonal_arima(), "balanced_1")))
+    return _held_out(_sweep(spark, sf_dir, "SARIMA", grids.seasonal_arima()))
 
 
 @query("per_series_additive")
 def per_series_additive(spark, sf_dir):
-    return _held_out(_sweep(spark, sf_dir, "Additive", grids.pick(grids.additive(), "balanced_8", "balanced_3")))
+    return _held_out(_sweep(spark, sf_dir, "Additive", grids.additive()))
 
 
 @query("basis_expansion")
 def basis_expansion(spark, sf_dir):
-    return _held_out(_sweep(spark, sf_dir, "Basis", grids.pick(grids.basis(), "balanced_2", "balanced_5")))
+    return _held_out(_sweep(spark, sf_dir, "Basis", grids.basis()))
 
 
 @query("sweep_fit")
 def sweep_fit(spark, sf_dir):
-    """Four configurations on every series of the dense panel -> ledger rows."""
-    configs = grids.pick(grids.additive(), "underfit_1", "balanced_1", "balanced_8", "overfit_1")
+    """All additive configurations on every series of the dense panel -> ledger rows."""
+    configs = grids.additive()
     return grouped.sweep_report(_sweep(spark, sf_dir, "Additive", configs), grids.config_table(spark, configs))
 
 

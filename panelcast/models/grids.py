@@ -92,22 +92,23 @@ BEST_TREES = {
 }
 
 # (input weeks, moving-average weeks) of the decomposed linear map; (input weeks, harmonics, polynomials).
+# Keyed by number: rows that differ in training steps alone are one configuration, under the number of the first.
 LINEAR_WINDOWS = {
-    "underfit": [(13, 5), (26, 9), (13, 9), (26, 5)],
-    "balanced": [(52, 13), (52, 25), (52, 39), (78, 13), (78, 25), (78, 39), (104, 25), (104, 39), (104, 51)],
-    "overfit": [(130, 51), (130, 77), (156, 51), (156, 77), (182, 51), (182, 77)],
+    "underfit": {1: (13, 5), 3: (26, 9), 5: (13, 9), 6: (26, 5)},
+    "balanced": {1: (52, 13), 3: (52, 25), 6: (52, 39), 7: (78, 13), 8: (78, 25), 10: (78, 39), 11: (104, 25), 13: (104, 39), 14: (104, 51)},
+    "overfit": {1: (130, 51), 2: (130, 77), 3: (156, 51), 4: (156, 77), 5: (182, 51), 6: (182, 77)},
 }
 BASIS_SIZES = {
-    "underfit": [(13, 2, 2), (26, 2, 2)],
-    "balanced": [(52, 2, 2), (52, 4, 3), (78, 2, 2), (78, 4, 3), (104, 4, 3)],
-    "overfit": [(156, 8, 5), (182, 8, 5)],
+    "underfit": {5: (13, 2, 2), 6: (26, 2, 2)},
+    "balanced": {7: (52, 2, 2), 9: (52, 4, 3), 10: (78, 4, 3), 11: (78, 2, 2), 16: (104, 4, 3)},
+    "overfit": {3: (156, 8, 5), 6: (182, 8, 5)},
 }
 
 
 def _label(grid: dict, make) -> list[dict]:
     return [
         {"label": f"{regime}_{i}", "regime": regime, **make(row)}
-        for regime, rows in grid.items() for i, row in enumerate(rows, 1)]
+        for regime, rows in grid.items() for i, row in (rows.items() if isinstance(rows, dict) else enumerate(rows, 1))]
 
 
 def arima() -> list[dict]:

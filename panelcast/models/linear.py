@@ -4,9 +4,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -51,17 +48,22 @@ def normal_equations(windows: DataFrame, n_x: int, n_y: int) -> DataFrame:
     return partial.groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 
-def solve_map(equations: DataFrame, n_x: int, n_y: int, ridge: float) -> DataFrame:
+def _dot(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
+
+
+def solve_map(equations: DataFrame, n_x: int, n_y: int, ridge: float, relative: bool = True) -> DataFrame:
     """(step, intercept, weights) from the summed normal equations.
 
-    The single group is the matrix itself, (n_x + 1) x (n_x + 1 + n_y) cells whatever the data.
+    ``ridge`` is added to the diagonal but for the intercept, ``relative`` to its mean.  The single group is the matrix itself, (n_x + 1) x (n_x + 1 + n_y) cells whatever the data.
     """
     width = n_x + 1
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         m = np.zeros((width, width + n_y))
         m[pdf["i"], pdf["j"]] = pdf["value"]
-        penalty = ridge * max(np.trace(m[:, :width]) / width, 1e-12) * np.eye(width)
+        unit = max(np.trace(m[:, :width]) / width, 1e-12) if relative else 1.0
+        penalty = ridge * unit * np.eye(width)
         penalty[0, 0] = 0.0
         weights = np.linalg.lstsq(m[:, :width] + penalty, m[:, width:], rcond=None)[0]
         return pd.DataFrame({"step": np.arange(1, n_y + 1), "intercept": weights[0], "weights": list(weights[1:].T)})
@@ -75,21 +77,21 @@ def decomposed_linear(
     """One linear map from the last ``input_size`` weeks to the next ``horizon``, pooled over
     series that are scaled by median and IQR: (unique_id, ds, prediction).
 
-    Gap weeks are filled on a straight line first, so that windows are weeks and not rows."""
+    A series with fewer weeks than the input repeats its last value.  Gap weeks are filled on a straight line first, so that windows are weeks and not rows."""
     past = interpolate_linear(weekly_spine(long.filter(F.col("ds") < cutoff).select("unique_id", "ds", "y")))
     scaled = robust_scale(past).select(
         "unique_id", "ds", F.col("scaled").alias("y"), "center", "spread").filter("y is not null")
     windows = decomposed_windows(scaled, input_size, horizon, moving_avg)
     train = windows.filter(F.size("ahead") == horizon)
     model = solve_map(normal_equations(train, 2 * input_size, horizon), 2 * input_size, horizon, ridge)
-    scales = scaled.groupBy("unique_id").agg(F.max("ds").alias("ds"), F.first("center").alias("center"),
-                                             F.first("spread").alias("spread"))
-    latest = windows.select("unique_id", "ds", "x").join(scales, ["unique_id", "ds"])
-    dot = F.aggregate(F.zip_with("x", "weights", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    scales = scaled.groupBy("unique_id").agg(F.max("ds").alias("ds"), F.max_by("y", "ds").alias("last"),
+                                             F.first("center").alias("center"), F.first("spread").alias("spread"))
+    latest = scales.join(windows.select("unique_id", "ds", "x"), ["unique_id", "ds"], "left")
     out = latest.crossJoin(F.broadcast(model))
+    value = F.coalesce(F.col("intercept") + _dot("x", "weights"), F.col("last"))
     return out.select(
         "unique_id", F.expr("date_add(ds, 7 * step)").alias("ds"),
-        ((F.col("intercept") + dot) * F.col("spread") + F.col("center")).alias("prediction"))
+        (value * F.col("spread") + F.col("center")).alias("prediction"))
 
 
 def covariate_ridge(
@@ -100,7 +102,8 @@ def covariate_ridge(
     ``rows`` is (unique_id, ds, y, is_train, covariates...) without missing covariates.
     ``xreg + base`` regresses the series and forecasts the residual with the base;
     ``base + xreg`` forecasts with the base and regresses what it leaves over.
-    Series are standardised on their training weeks first.
+    Series are standardised on their training weeks first.  The regression is closed form,
+    (X'X + ridge I)^-1 X'y with a free intercept.
     """
     known = F.when(F.col("is_train"), F.col("y"))
     series = W.partitionBy("unique_id")
@@ -121,11 +124,11 @@ def covariate_ridge(
         scaled = scaled.withColumn("_target", F.col("_z"))
     else:
         raise ValueError(f"unknown order {order!r}")
-    stages = [VectorAssembler(inputCols=list(covariates), outputCol="_x"),
-              LinearRegression(featuresCol="_x", labelCol="_target", predictionCol="_xreg",
-                               regParam=float(ridge), elasticNetParam=0.0, solver="normal")]
-    train = scaled.filter("is_train and _target is not null")
-    fitted = Pipeline(stages=stages).fit(train).transform(scaled)
+    scaled = scaled.withColumn("_x", F.array(*[F.col(c).cast("double") for c in covariates]))
+    train = scaled.filter("is_train and _target is not null").select(F.col("_x").alias("x"), F.array("_target").alias("ahead"))
+    n = len(covariates)
+    model = solve_map(normal_equations(train, n, 1), n, 1, ridge, relative=False).select("intercept", "weights")
+    fitted = scaled.crossJoin(F.broadcast(model)).withColumn("_xreg", F.col("intercept") + _dot("_x", "weights"))
     if order == "xreg + base":
         fitted = fitted.withColumn("_rest", F.col("_z") - F.col("_xreg")).withColumn("_base", base("_rest"))
     value = (F.col("_base") + F.col("_xreg")) * F.col("_dev") + F.col("_mean")

@@ -108,6 +108,10 @@ def additive_design(days: np.ndarray, cfg: dict, first: float, span: float, holi
     return np.hstack([np.ones((len(t), 1)), t[:, None], hinges, np.sin(angle), np.cos(angle), events])
 
 
+def _trend_columns(cfg: dict) -> int:
+    return 2 + cfg.get("n_changepoints", 25)
+
+
 def _penalties(cfg: dict) -> np.ndarray:
     knots, pairs = cfg.get("n_changepoints", 25), cfg["yearly_seasonality"]
     scale = [5.0, 5.0] + [cfg["changepoint_prior_scale"]] * knots
@@ -118,26 +122,40 @@ def _penalties(cfg: dict) -> np.ndarray:
 def additive_fit(days: np.ndarray, y: np.ndarray, holidays: np.ndarray, cfg: dict) -> np.ndarray:
     """[first day, span, scale, weights...]: Gaussian priors as a ridge penalty.
 
-    The multiplicative form fits the logarithm, so it needs positive sales.
+    The multiplicative form is trend * (1 + season); its two parts are fitted in turn, which takes
+    sales of any sign.
     """
-    multiplicative = cfg.get("seasonality_mode") == "multiplicative"
-    if multiplicative and (y <= 0).any():
-        raise ValueError("multiplicative form needs positive values")
-    target = np.log(y) if multiplicative else y
     first, span = float(days[0]), float(max(days[-1] - days[0], 7))
-    scale = float(np.abs(target).max()) or 1.0
+    scale = float(np.abs(y).max()) or 1.0
+    target = y / scale
     x = additive_design(days, cfg, first, span, holidays)
     penalty, noise = _penalties(cfg), 0.1
-    for _ in range(2):
-        w = np.linalg.solve(x.T @ x + np.diag(noise ** 2 * penalty + 1e-9), x.T @ (target / scale))
-        noise = max(float(np.std(target / scale - x @ w)), 1e-4)
-    return np.concatenate([[first, span, scale], w])
+
+    def ridge(part, goal, cols):
+        return np.linalg.solve(part.T @ part + np.diag(noise ** 2 * penalty[cols] + 1e-9), part.T @ goal)
+
+    if cfg.get("seasonality_mode") != "multiplicative":
+        for _ in range(2):
+            w = ridge(x, target, slice(None))
+            noise = max(float(np.std(target - x @ w)), 1e-4)
+        return np.concatenate([[first, span, scale], w])
+    n = _trend_columns(cfg)
+    season = np.zeros(len(y))
+    for _ in range(6):
+        trend_w = ridge(x[:, :n] * (1 + season)[:, None], target, slice(n))
+        trend = x[:, :n] @ trend_w
+        season_w = ridge(x[:, n:] * trend[:, None], target - trend, slice(n, None))
+        season = x[:, n:] @ season_w
+        noise = max(float(np.std(target - trend * (1 + season))), 1e-4)
+    return np.concatenate([[first, span, scale], trend_w, season_w])
 
 
 def additive_predict(days: np.ndarray, holidays: np.ndarray, coefs: np.ndarray, cfg: dict) -> np.ndarray:
     first, span, scale = coefs[:3]
-    out = additive_design(days, cfg, first, span, holidays) @ coefs[3:] * scale
-    return np.exp(out) if cfg.get("seasonality_mode") == "multiplicative" else out
+    x, w, n = additive_design(days, cfg, first, span, holidays), coefs[3:], _trend_columns(cfg)
+    if cfg.get("seasonality_mode") == "multiplicative":
+        return x[:, :n] @ w[:n] * (1 + x[:, n:] @ w[n:]) * scale
+    return x @ w * scale
 
 
 def basis_fit(days: np.ndarray, y: np.ndarray, cfg: dict) -> np.ndarray:

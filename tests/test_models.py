@@ -59,6 +59,16 @@ def test_differencing_is_undone():
     np.testing.assert_allclose(solvers.arma_forecast(wave, solvers.arma_fit(wave, cfg), cfg, 3), [40.0, 41.0, 42.0], rtol=1e-9)
 
 
+def test_multiplicative_form_takes_weeks_without_sales():
+    days = np.arange(200) * 7.0
+    y = (100 + 0.2 * np.arange(200)) * (1 + 0.3 * np.sin(2 * np.pi * days / 365.25))
+    y[[40, 90]] = [-5.0, 0.0]
+    cfg = grids.pick(grids.additive(), "balanced_6")[0]
+    coefs = solvers.additive_fit(days, y, np.zeros(200), cfg)
+    error = np.abs(solvers.additive_predict(days, np.zeros(200), coefs, cfg) - y)
+    assert np.median(error) < 6
+
+
 def test_fitted_values_plus_shocks_give_the_series_back():
     rng = np.random.default_rng(2)
     y = np.cumsum(rng.normal(size=300)) + 50
@@ -163,6 +173,34 @@ def test_covariate_ridge_uses_the_covariate(spark, order):
         linear.covariate_ridge(df, ["promo"], "other")
 
 
+def test_covariate_ridge_equals_the_closed_form(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(40, 2))
+    y = x @ [2.0, -1.0] + 3 + rng.normal(size=40)
+    rows = [("1_1", friday(i), float(y[i]), i < 30, float(x[i, 0]), float(x[i, 1])) for i in range(40)]
+    df = spark.createDataFrame(rows, LONG + ", is_train boolean, a double, b double")
+    got = linear.covariate_ridge(df, ["a", "b"], "base + xreg", 5.0, weeks=100).filter("is_train").orderBy("ds").toPandas()
+    mean, dev = y[:30].mean(), y[:30].std(ddof=1)
+    design = np.c_[np.ones(30), x[:30]]
+    w = np.linalg.solve(design.T @ design + np.diag([0.0, 5.0, 5.0]), design.T @ ((y[:30] - mean) / dev))
+    np.testing.assert_allclose(got.prediction, design @ w * dev + mean, rtol=1e-9)
+
+
+def test_short_series_repeat_their_last_value(spark):
+    rows = [("1_1", friday(i), float(10 + i % 13)) for i in range(120)] + [("1_2", friday(i), float(i)) for i in range(90, 105)]
+    out = linear.decomposed_linear(spark.createDataFrame(rows, LONG), F.lit(friday(100)).cast("date"), 13, input_size=26, moving_avg=5)
+    got = {(r.unique_id, r.ds): r.prediction for r in out.collect()}
+    assert len(got) == 26 and all(abs(got["1_2", friday(i)] - 99.0) < 1e-9 for i in range(100, 113))
+
+
+@pytest.mark.parametrize("make, label, values", [
+    (grids.decomposed_linear, "balanced_3", {"input_size": 52, "moving_avg_window": 25}),
+    (grids.basis, "balanced_9", {"input_size": 52, "n_harmonics": 4, "n_polynomials": 3})])
+def test_labels_name_the_published_configuration(make, label, values):
+    (config,) = grids.pick(make(), label)
+    assert values.items() <= config.items()
+
+
 def test_tree_parameter_map():
     params, ignored = gbt.to_mllib({
         "label": "x", "regime": "y", "n_estimators": 7, "max_depth": -1, "learning_rate": 0.1, "subsample": 0.8,
