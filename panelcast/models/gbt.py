@@ -30,7 +30,7 @@ PARAMETER_NAMES = {
 
 
 def to_mllib(config: Mapping) -> tuple[dict, list[str]]:
-    """(MLlib parameters, names without a counterpart) of one sweep configuration."""
+    """(MLlib parameters, names without a counterpart or taken at another value) of one sweep configuration."""
     params, ignored = {}, []
     for name, value in config.items():
         if name in ("label", "regime"):
@@ -40,8 +40,10 @@ def to_mllib(config: Mapping) -> tuple[dict, list[str]]:
             ignored.append(name)
         elif target == "maxDepth":
             params[target] = UNBOUNDED_DEPTH if value < 0 else min(int(value), MAX_DEPTH)
+            ignored += [name] * (params[target] != value)
         elif target == "minInstancesPerNode":
             params[target] = max(1, int(value))
+            ignored += [name] * (params[target] != value)
         elif target == "featureSubsetStrategy":
             params[target] = "all" if value >= 1 else str(float(value))
         else:

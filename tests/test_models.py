@@ -206,7 +206,8 @@ def test_tree_parameter_map():
         "label": "x", "regime": "y", "n_estimators": 7, "max_depth": -1, "learning_rate": 0.1, "subsample": 0.8,
         "colsample_bytree": 0.5, "min_child_weight": 0, "reg_lambda": 1.0, "num_leaves": 31})
     assert params == {"maxIter": 7, "maxDepth": 10, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.5", "minInstancesPerNode": 1}
-    assert ignored == ["reg_lambda", "num_leaves"]
+    assert ignored == ["max_depth", "min_child_weight", "reg_lambda", "num_leaves"]
+    assert gbt.to_mllib({"max_depth": 99})[1] == ["max_depth"] and gbt.to_mllib({"max_depth": 6})[1] == []
     assert gbt.to_mllib({"max_depth": 99, "colsample_bytree": 1.0})[0] == {"maxDepth": 30, "featureSubsetStrategy": "all"}
 
 
