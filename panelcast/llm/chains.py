@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.staging import write_once
@@ -137,6 +138,23 @@ def apply_chain(chain: list[dict], rows: Rows) -> np.ndarray:
     return extra
 
 
+def fit_sample(marked: DataFrame, known: DataFrame, targets: list[str], fit_rows: int) -> DataFrame:
+    """The first ``fit_rows`` labelled rows in the order of a hash of the id, without their words.
+
+    Only ids travel to the labels, by one join plan at every size.  Counts over the leading 16 bits
+    of the hash tell how far the order has to be looked at, so the task that takes the first rows
+    meets little more than those.
+    """
+    narrow = marked.select("doc_id", "row", F.xxhash64("ids").alias("same"))
+    labelled = write_once(narrow.join(known.hint("merge"), "doc_id").withColumn("draw", F.xxhash64("doc_id")), "labelled")
+    top = F.shiftright("draw", 48)
+    upto = (labelled.groupBy(top.alias("top")).agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("upto", F.sum("n").over(W.orderBy("top"))).where(F.col("upto") >= fit_rows).agg(F.min("top")).first()[0])
+    near = labelled if upto is None else labelled.where(top <= upto)
+    return (near.orderBy("draw", "doc_id", *targets, "same").limit(fit_rows)
+            .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS))))
+
+
 def classify(docs: DataFrame, labels: DataFrame, categories: list[str], learn_from=None, threshold: float = 0.3,
              fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, p_<category> ..., <category> ...) of every row, in the order of the chain.
@@ -147,14 +165,17 @@ def classify(docs: DataFrame, labels: DataFrame, categories: list[str], learn_fr
     texts have no words and get the chain's bias; without labels every probability is one half.
     Distinct words are hashed once for each text and written.
     """
-    marked = write_once(docs.select(F.col(id_col).alias("doc_id"), ids_column(F.col(text_col)).alias("ids")), "word_ids")
+    ids = ids_column(F.col(text_col))
+    marked = write_once(docs.select(F.col(id_col).alias("doc_id"), ids.alias("ids"), F.monotonically_increasing_id().alias("row")), "word_ids")
+    targets = [f"y_{c}" for c in categories]
     known = labels.select(F.col(id_col).alias("doc_id"), *[F.col(c).cast("double").alias(f"y_{c}") for c in categories])
     if learn_from is not None:
         known = known.where(learn_from)
-    picked = (marked.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *[f"y_{c}" for c in categories]).limit(fit_rows)
-              .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS))))
+    picked = fit_sample(marked, known, targets, fit_rows)
+    # at most fit_rows rows of numbers
+    fit = write_once(marked.select("row", "ids").join(F.broadcast(picked.drop("doc_id")), "row"), "fit_rows")
     sets, y, fold = [], [], []
-    for r in picked.toLocalIterator():
+    for r in fit.orderBy("draw", "same", *targets).toLocalIterator():
         sets.append(np.array(r.ids, np.int32))
         y.append([np.nan if r[f"y_{c}"] is None else r[f"y_{c}"] for c in categories])
         fold.append(r.fold)
