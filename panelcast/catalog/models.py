@@ -8,7 +8,7 @@ from ..models import baselines, gbt, grids, grouped, linear
 from ..operators import clean, joins, lags, metrics, panel, split
 from ..operators.ledger import best_run
 from ..plans import global_model, inference, series_models
-from ..sources import staging, tables
+from ..sources import files, staging, tables
 from . import registry as r
 from .panels import COMPLETE, complete_ids, merged
 from .registry import query, text
@@ -261,13 +261,18 @@ def run_series_sweep(spark, sf_dir):
 
 @query("run_inference")
 def run_inference(spark, sf_dir):
-    """Stored autoregressive models to a gated submission, read back from its files."""
+    """Sweeps to a ledger, winners stored, the best usable run to a gated submission, read back from its files."""
     train, valid = split.time_split(_fact(spark, sf_dir), tables.HORIZON)
-    long = panel.to_long(train)
-    config = grids.pick(grids.arima(), "balanced_9")[0]
-    models = staging.write_once(grouped.final_refit(long, "ARIMA", config), "models")
-    forecast = grouped.forecast_models(models, long, "ARIMA", config, tables.HORIZON)
-    template = valid.select(submission_id().alias("Id")).withColumn("pos", F.md5("Id"))
-    path = staging.new_path(spark, "submission")
-    inference.checked_submission(valid, template, forecast, *baselines.fallbacks(long), path)
+    long = staging.write_once(panel.to_long(train), "long")
+    families, store, ledgers = {"Additive": grids.additive(), "ARIMA": grids.arima()}, staging.new_path(spark, "models"), []
+    for family, configs in families.items():
+        report = series_models.sweep(long, tables.HORIZON, family, configs, 250)
+        ledgers.append(staging.write_once(series_models.ledger_rows(report, family), "ledger"))
+        winner = best_run(ledgers[-1]).first()
+        if winner is not None:
+            files.write_models(grouped.final_refit(long, family, grids.pick(configs, winner.label)[0]), f"{store}/{family}")
+    ids, path = staging.new_path(spark, "template"), staging.new_path(spark, "submission")
+    valid.select(submission_id().alias("Id"), F.lit(0.0).alias("Weekly_Sales")).write.option("header", True).csv(ids)
+    inference.serve_best(ledgers[0].unionByName(ledgers[1]), families, {f: f"{store}/{f}" for f in families}, long,
+                         valid, files.read_template(spark, ids), tables.HORIZON, path)
     return spark.read.schema("Id string, Weekly_Sales double").option("header", True).csv(path)

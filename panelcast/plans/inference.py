@@ -1,8 +1,13 @@
 """From run ledger to a checked submission file."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
+from ..models import baselines, grouped
 from ..operators import ledger as runs
 from ..operators import submit
 from ..operators.joins import restore_order
@@ -19,6 +24,46 @@ def candidates(ledger: DataFrame, documented: dict[str, float] | None = None) ->
     return runs.with_documented(experiments, ledger, table).orderBy("val_wmae", "experiment")
 
 
+def stored_labels(spark: SparkSession, stores: Mapping[str, str]) -> DataFrame:
+    """(experiment, label) of every stored label with a fitted series; a store that cannot be read has none."""
+    out = spark.createDataFrame([], "experiment string, label string")
+    for experiment, path in stores.items():
+        try:
+            fitted = spark.read.schema(schemas.MODEL_STORE).parquet(path).filter("status = 'fitted'")
+        except AnalysisException:
+            continue
+        out = out.union(fitted.select(F.lit(experiment), "label").distinct())
+    return out
+
+
+def select_run(ledger: DataFrame, stores: Mapping[str, str]) -> Row | None:
+    """(experiment, label, ...) of the best-ranked run whose models are stored.
+
+    A family known by its documented error alone has no run to load.
+    """
+    ranked = write_once(candidates(ledger), "candidates")
+    usable = ranked.select("experiment", "label").join(stored_labels(ledger.sparkSession, stores), ["experiment", "label"])
+    return runs.next_usable(ranked, usable.withColumn("usable", F.lit(True))).first()
+
+
+def serve_best(
+    ledger: DataFrame, families: Mapping[str, Sequence[Mapping]], stores: Mapping[str, str], long: DataFrame,
+    requests: DataFrame, template: DataFrame, horizon: int, path: str,
+) -> Row | None:
+    """Rank, next usable run, load, forecast, gate, write in template order; returns the run.
+
+    Without a usable run every request takes its fallback.
+    """
+    spark, run = long.sparkSession, select_run(ledger, stores)
+    forecast = spark.createDataFrame([], grouped.FORECAST)
+    if run is not None:
+        config = next(c for c in families[run.experiment] if c["label"] == run.label)
+        models = files.load_models(spark, stores[run.experiment], run.label, long.select("unique_id").distinct())
+        forecast = grouped.forecast_models(models, long, run.experiment, config, horizon)
+    checked_submission(requests, template, forecast, *baselines.fallbacks(long), path)
+    return run
+
+
 def checked_submission(
     requests: DataFrame, template: DataFrame, forecast: DataFrame, by_id: DataFrame, overall: DataFrame, path: str,
 ) -> DataFrame:

@@ -21,6 +21,13 @@ def sweep(long: DataFrame, horizon: int, family: str, configs: Sequence[dict], n
     return grouped.sweep_report(fits, table)
 
 
+def ledger_rows(report: DataFrame, experiment: str) -> DataFrame:
+    """Sweep report as run-ledger rows; a configuration without a validation error is a failed run."""
+    run_id = F.substring(F.md5(F.concat_ws("|", F.lit(experiment), "label", "params")), 1, 12)
+    status = F.when(F.col("val_wmae").isNull() | F.isnan("val_wmae"), "FAILED").otherwise("FINISHED")
+    return report.withColumns({"experiment": F.lit(experiment), "run_status": status, "run_id": run_id, "seq": run_id})
+
+
 def refit(long: DataFrame, horizon: int, family: str, config: dict) -> DataFrame:
     """Model table of the chosen configuration on the whole history of all complete series."""
     cutoff = split.cutoff_value(long, horizon, "ds")

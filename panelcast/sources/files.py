@@ -56,8 +56,8 @@ def read_run_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_models(models: DataFrame, path: str) -> None:
-    """(label, unique_id, coefs, status), one folder per label."""
-    models.write.mode("append").partitionBy("label").parquet(path)
+    """(label, unique_id, coefs, status), one folder per label; a label written again replaces its rows, others stay."""
+    models.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("label").parquet(path)
 
 
 def load_models(spark: SparkSession, path: str, label: str, ids: DataFrame) -> DataFrame:

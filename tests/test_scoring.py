@@ -145,6 +145,22 @@ def test_model_store_round_trip(spark):
     ids = spark.createDataFrame([("1_1",), ("1_2",), ("7_7",)], "unique_id string")
     got = {r.unique_id: r.coefs for r in files.load_models(spark, path, "m", ids).collect()}
     assert got == {"1_1": [1.0, 2.0], "1_2": None, "7_7": None}
+    files.write_models(models.filter("label = 'm'").withColumn("status", F.lit("failed")), path)  # a rerun of one label
+    assert files.load_models(spark, path, "m", ids).where("coefs is null").count() == 3
+    assert files.load_models(spark, path, "n", ids).where("coefs is not null").count() == 1
+
+
+def test_selection_skips_runs_without_stored_models(spark):
+    ledger = spark.createDataFrame(
+        [("A", "a1", 1.0, "FINISHED"), ("B", "b1", 2.0, "FINISHED"), ("C", "c2", 3.0, "FINISHED"), ("C", "c1", 2.5, "FAILED")],
+        "experiment string, label string, val_wmae double, run_status string").withColumns({"seq": F.col("label"), "run_id": F.col("label")})
+    stored = "label string, unique_id string, coefs array<double>, status string"
+    b, c = staging.new_path(spark, "b"), staging.new_path(spark, "c")
+    files.write_models(spark.createDataFrame([("b1", "1_1", None, "failed"), ("b9", "1_1", [1.0], "fitted")], stored), b)
+    files.write_models(spark.createDataFrame([("c1", "1_1", [1.0], "fitted"), ("c2", "1_1", [1.0], "fitted")], stored), c)
+    run = inference.select_run(ledger, {"A": staging.new_path(spark, "a"), "B": b, "C": c})
+    assert (run.experiment, run.label) == ("C", "c2")
+    assert inference.select_run(ledger, {"B": b}) is None
 
 
 def test_holiday_join_defaults_to_false(spark):
