@@ -41,9 +41,14 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the hash of what they decode to."""
-    out = bpe.encode(docs.select("doc_id", "source", "text"), queries.vocabulary(), queries.SPECIAL, with_ids=True)
-    return out.select("doc_id", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    """Token ids of every document, with the hash of what they decode to and its place in the mixture, ordered by it.
+
+    Files are not read in the order in which they were written, so the places are worked out again;
+    they follow from ``doc_id`` and ``source`` alone.
+    """
+    out = bpe.encode(docs.select("doc_id", "source", "text"), queries.vocabulary(), queries.SPECIAL, with_ids=True).drop("text")
+    return mixing.mixed(out).select("doc_id", "source", "units", "block", "slot", "place", "n_tokens", "ids", "ids_sha256",
+                                    "decoded_sha256").orderBy("place")
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("simhash_near_dedup", near_dedup),

@@ -1,9 +1,12 @@
+from collections import Counter
+
 import corpus_pipeline
 from llm.conftest import SF, clashing
 from llm.test_rules_lines_mixing import plain_stats
 from llm.test_simhash_substrings import closure, plain_simhash
 from llm.test_tokens import plain
-from panelcast.llm import lines, queries
+from panelcast.llm import lines, mixing, queries
+from panelcast.sources.staging import write_once
 
 
 def test_stages_on_odd_rows(spark, odd, empty):
@@ -51,3 +54,20 @@ def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame([(4, "a few words of some text", "x")] * 3 + [(9, "a few words of some text", "y"), (None, "t", None)],
                                  "doc_id long, text string, source string")
     assert sorted(str(r.doc_id) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()) == ["4", "None"]
+
+
+def test_tokens_come_in_the_order_of_the_mixture(spark):
+    rows = [(i, "a long text " * 2000 if i % 50 == 7 else f"text number {i}", "hot" if i % 10 else "b") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    mixture = write_once(corpus_pipeline.mixing_sources(spark, docs, SF), "mixture")
+    got = corpus_pipeline.tokens(spark, mixture, SF).collect()
+    want = {r.doc_id: (r.units, r.block, r.slot, r.place) for r in mixing.mixed(docs).collect()}
+    assert {r.doc_id: (r.units, r.block, r.slot, r.place) for r in got} == want and len(got) == len(rows)
+    assert [r.place for r in got] == sorted(r.place for r in got)
+    slots, units = {r.slot: r.source for r in got}, {r.source: r.units for r in got}
+    blocks, run = Counter(slots.values()), Counter()
+    for t in range(max(slots) + 1):
+        run[slots.get(t)] += 1
+        for s, u in units.items():
+            if run[s] < blocks[s]:
+                assert abs(run[s] - (t + 1) * u / mixing.PERIOD) < 1
