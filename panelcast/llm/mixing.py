@@ -2,8 +2,8 @@
 
 A source of weight w releases its j-th block at slot floor((j - 1) / w), due by ceil(j / w).  In
 each slot the released block with the earliest deadline runs (ties: by source).  Weights are whole
-shares of a period, so the schedule of one period repeats; it is worked out once and joined to the
-blocks of every period.
+shares of a period, which grows with the number of sources, so the schedule of one period repeats;
+it is worked out once and joined to the blocks of every period.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import write_once
 
+#: Least period, and slots of a period for each source: at most a 50th of the slots is dealt evenly.
 PERIOD = 1000
+SLOTS = 50
 BLOCK = 16
+#: Slots in one inner fold, so that what is gathered is copied in pieces.
+CHUNK = 1000
 #: Hex digits of the ordering hash that cut a source into parts for ranking.
 PART_DIGITS = 3
 
@@ -37,20 +41,31 @@ def shares(sizes: DataFrame, weight, period: int = PERIOD) -> DataFrame:
 def period_schedule(units: DataFrame, period: int = PERIOD) -> DataFrame:
     """(source, turn, slot): the slot of each source's blocks in the first period, ``turn`` from 0.
 
-    One row holds all sources (at most ``period``) and a fold over the slots picks, in each, the
-    released block with the earliest deadline.  The shares must sum to the period.
+    Sources with equal units have equal windows and take turns in their order, so the state of the
+    fold over the slots has one entry for each different number of units (fewer than the root of
+    twice the period), not for each source.  The entry's next block is released at ``r``, due by
+    ``d``; the released one with the earliest deadline runs.  The shares must sum to the period.
     """
-    rows = units.groupBy().agg(F.sort_array(F.collect_list(F.struct("source", "units"))).alias("s"))
-    pick = """array_min(transform(filter(sequence(0, size(s) - 1),
-        i -> cast(state.done[i] as bigint) * {p} div s[i].units <= t and state.done[i] < s[i].units),
-        i -> struct(ceil((state.done[i] + 1) * {p} / s[i].units) as due, i as i))).i""".format(p=period)
-    fold = f"""aggregate(sequence(0, {period} - 1),
-        named_struct('done', transform(s, x -> 0L), 'out', cast(array() as array<struct<source: string, turn: bigint, slot: int>>)),
-        (state, t) -> transform(array({pick}), b -> named_struct(
-            'done', transform(state.done, (n, i) -> n + if(i = b, 1L, 0L)),
-            'out', concat(state.out, array(named_struct('source', s[b].source, 'turn', state.done[b], 'slot', t)))))[0],
-        state -> state.out)"""
-    return rows.where("size(s) > 0").select(F.explode(F.expr(fold)).alias("x")).select("x.*")
+    listed = units.withColumn("pos", F.row_number().over(Window.orderBy("source")))
+    classes = (listed.groupBy("units").agg(F.sort_array(F.collect_list("pos")).alias("pos"))
+               .groupBy().agg(F.sort_array(F.collect_list(F.struct("units", "pos"))).alias("s")))
+
+    def upcoming(i: str, k: str) -> str:
+        turn = f"({k}) div size(s[{i}].pos)"
+        return (f"named_struct('d', (({turn} + 1) * {period} + s[{i}].units - 1) div s[{i}].units, 'p', s[{i}].pos[cast(({k}) % size(s[{i}].pos) as int)], "
+                f"'i', {i}, 'k', {k}, 'r', if(({k}) < s[{i}].units * size(s[{i}].pos), {turn} * {period} div s[{i}].units, {period}L))")
+
+    kind = "array<struct<pos: int, turn: bigint, slot: int>>"
+    inner = f"""aggregate(sequence(a, least(a + {CHUNK}, {period}) - 1), named_struct('next', chunk.next, 'out', cast(array() as {kind})),
+        (state, t) -> transform(array(array_min(filter(state.next, x -> x.r <= t))), b -> named_struct(
+            'next', transform(state.next, x -> if(x.i = b.i, {upcoming("x.i", "x.k + 1")}, x)),
+            'out', concat(state.out, array(named_struct('pos', b.p, 'turn', b.k div size(s[b.i].pos), 'slot', t)))))[0])"""
+    fold = f"""aggregate(sequence(0, {period} - 1, {CHUNK}),
+        named_struct('next', transform(sequence(0, size(s) - 1), i -> {upcoming("i", "0L")}), 'out', cast(array() as array<{kind}>)),
+        (chunk, a) -> transform(array({inner}), x -> named_struct('next', x.next, 'out', concat(chunk.out, array(x.out))))[0],
+        chunk -> chunk.out)"""
+    slots = classes.where("size(s) > 0").select(F.explode(F.expr(fold)).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+    return slots.join(listed.select("source", "pos"), "pos").select("source", "turn", "slot")
 
 
 def ranked(docs: DataFrame, id_col: str, source_col: str, block: int) -> DataFrame:
@@ -72,11 +87,13 @@ def ranked(docs: DataFrame, id_col: str, source_col: str, block: int) -> DataFra
 
 
 def mixed(docs: DataFrame, weight=None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK,
-          period: int = PERIOD) -> DataFrame:
+          period: int | None = None) -> DataFrame:
     """Every row of ``docs`` with ``units``, ``block``, ``slot``, ``release``, ``deadline`` and ``place``.
 
     ``weight`` is an aggregate over the rows of a source (by default the square root of their
-    number).  Blocks are ``block`` rows of one source, the last one maybe fewer.  After any number
+    number).  A period has ``period`` slots, by default ``SLOTS`` a source and ``PERIOD`` at least,
+    so a share differs from its target by a 50th of it and two slots at most, or is one to two
+    slots where the target is less than one.  Blocks are ``block`` rows of one source, the last one maybe fewer.  After any number
     of slots each source that still has blocks has run within one block of its share.  Every row
     has one place; ordering by ``place`` gives the mixture, in which a source that has run out
     leaves its slots empty.  Rows without a source are a source of their own, rows without an id
@@ -87,7 +104,8 @@ def mixed(docs: DataFrame, weight=None, id_col: str = "doc_id", source_col: str
     weight = F.sqrt(F.count(F.lit(1))) if weight is None else weight
     name = F.concat(F.when(F.col(source_col).isNull(), "-").otherwise("+"), F.coalesce(F.col(source_col).cast("string"), F.lit("")))
     docs = docs.select(*old).withColumn("__name", name)
-    sizes = docs.groupBy(F.col("__name").alias("source")).agg(weight.alias("w"))
+    sizes = write_once(docs.groupBy(F.col("__name").alias("source")).agg(weight.alias("w")), "sizes")
+    period = max(PERIOD, SLOTS * sizes.count()) if period is None else period
     units = write_once(shares(sizes, F.col("w"), period), "shares")
     plan = write_once(period_schedule(units, period).join(units, "source"), "schedule").select(
         F.col("source").alias("__plan"), "turn", "slot", "units")
@@ -95,8 +113,8 @@ def mixed(docs: DataFrame, weight=None, id_col: str = "doc_id", source_col: str
             .withColumn("block", F.floor(F.col("__rank") / block))
             .join(units.select(F.col("source").alias("__u"), F.col("units").alias("__units")), F.col("__name") == F.col("__u"))
             .withColumn("__cycle", F.floor(F.col("block") / F.col("__units"))))
-    # the schedule has one row a slot of the period, whatever the data
-    out = rows.join(F.broadcast(plan.withColumnsRenamed({"turn": "__turn", "slot": "__slot"})),
+    # one row a slot of the period: Spark broadcasts it while it is small
+    out = rows.join(plan.withColumnsRenamed({"turn": "__turn", "slot": "__slot"}),
                     (F.col("__name") == F.col("__plan")) & (F.col("block") % F.col("__units") == F.col("__turn")))
     slot = F.col("__cycle") * period + F.col("__slot")
     return out.select(

@@ -129,3 +129,24 @@ def test_no_source_is_off_by_a_block(spark, period):
 def test_mixture_of_odd_rows(odd, empty):
     assert mixing.mixed(odd).count() == odd.count()
     assert mixing.mixed(empty).collect() == []
+
+
+def test_more_sources_than_the_least_period(spark):
+    rows = [(i, f"s{i}") for i in range(1200)] + [(2000 + i, "hot") for i in range(1200)] + [(9000 + i, f"s{i % 40}") for i in range(400)]
+    got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, source string"), F.count(F.lit(1)), block=4).collect()
+    assert len(got) == len(rows) and len({r.place for r in got}) == len(rows)
+    units, period = {r.source: r.units for r in got}, mixing.SLOTS * 1201
+    assert sum(units.values()) == period
+    size = Counter(s for _, s in rows)
+    for s, u in units.items():
+        assert abs(u - period * size[s] / len(rows)) <= size[s] / len(rows) * 1201 + 2
+    slots = {}
+    for r in got:
+        assert r.release <= r.slot < r.deadline and slots.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block)
+
+
+def test_mixture_of_many_sources_equals_sql(spark):
+    rows = [(i, f"s{i % (1 + i % 45)}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string").withColumns({"text": F.lit(""), "lang": F.lit("")})
+    got = sorted(str(sorted(r.asDict().items())) for r in mixing.mixed(docs.select("doc_id", "source")).collect())
+    assert got == on_duckdb(docs, mixing.oracle(period=mixing.SLOTS * 45))
