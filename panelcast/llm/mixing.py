@@ -72,7 +72,8 @@ def ranked(docs: DataFrame, id_col: str, source_col: str, block: int) -> DataFra
     """``docs`` with ``__rank``, from 0, in its source in the order of a hash of the id.
 
     A source is ranked in parts of the hash, which are small next to the source, and the parts'
-    counts are added up; no source is gathered in one task.
+    counts are added up; no source is gathered in one task.  ``source_col`` has no NULL, so the join
+    of the counts has the keys of the ranking and needs no second shuffle of the rows.
     """
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     keyed = docs.withColumns({"__source": F.col(source_col).cast("string"), "__hash": key}).withColumn("__part", F.substring("__hash", 1, PART_DIGITS))
@@ -82,7 +83,7 @@ def ranked(docs: DataFrame, id_col: str, source_col: str, block: int) -> DataFra
                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     inside = F.row_number().over(Window.partitionBy("__source", "__part").orderBy("__hash")) - 1
     return (keyed.withColumn("__inside", inside)
-            .join(counts, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__part") == F.col("__p")), "left")
+            .join(counts.hint("merge"), (F.col("__source") == F.col("__s")) & (F.col("__part") == F.col("__p")), "left")
             .withColumn("__rank", F.col("__before") + F.col("__inside")))
 
 
