@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, bpe, cdc, chains, gam, lines, mixing, rules, simhash, substrings
+from . import bloom_lm, bpe, cdc, chains, gam, langid, lines, merkle, mixing, rules, simhash, substrings
 
 SPECIAL = {"<|endoftext|>": 50256}
 
@@ -71,6 +71,19 @@ def op10_quality_rules(spark, sf_dir):
         "doc_id", *rules.STATS, "base_failed", "host_rate", "kept")
 
 
+def op11_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return langid.classify(docs, fold() != 0).select(
+        "doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "encoded_size", "rejected")
+
+
+def op13_manifest(spark, sf_dir):
+    changed = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    more = F.col("n_chars").cast("decimal(20,0)") + F.when(changed, 1).otherwise(0)
+    out = merkle.manifest(documents(spark, sf_dir), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", {"n_chars": more})
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_toxicity, op4_mixing, op5_simhash, op6_substring_dedup,
-                                   op7_fingerprints, op8_bpe, op9_quality, op10_quality_rules)}
-SQL = {"op1_line_dedup": lines.oracle(), "op4_mixing": mixing.oracle()}
+                                   op7_fingerprints, op8_bpe, op9_quality, op10_quality_rules, op11_language, op13_manifest)}
+SQL = {"op1_line_dedup": lines.oracle(), "op4_mixing": mixing.oracle(), "op13_manifest": merkle.ORACLE}
