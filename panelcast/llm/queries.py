@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, bpe, cdc, chains, gam, langid, lines, merkle, mixing, rules, simhash, substrings
+from . import bloom_lm, bpe, cdc, chains, gam, langid, lines, merkle, mixing, rules, simhash, substrings, whitening
 
 SPECIAL = {"<|endoftext|>": 50256}
 
@@ -77,6 +77,10 @@ def op11_language(spark, sf_dir):
         "doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "encoded_size", "rejected")
 
 
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_manifest(spark, sf_dir):
     changed = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
     more = F.col("n_chars").cast("decimal(20,0)") + F.when(changed, 1).otherwise(0)
@@ -85,5 +89,6 @@ def op13_manifest(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_lm_scoring, op3_toxicity, op4_mixing, op5_simhash, op6_substring_dedup,
-                                   op7_fingerprints, op8_bpe, op9_quality, op10_quality_rules, op11_language, op13_manifest)}
+                                   op7_fingerprints, op8_bpe, op9_quality, op10_quality_rules, op11_language, op12_whitening,
+                                   op13_manifest)}
 SQL = {"op1_line_dedup": lines.oracle(), "op4_mixing": mixing.oracle(), "op13_manifest": merkle.ORACLE}
