@@ -148,17 +148,63 @@ def _held_out(fits):
 
 # A random walk repeats the last value; a first-order autoregression has a closed-form coefficient.
 @query("per_series_ar", text(r.panel("dense"), r.CUT, r.SPINE.format(source="train"), KNOWN, """
-pairs AS (SELECT unique_id, y, lag(y) OVER (PARTITION BY unique_id ORDER BY Date) AS x FROM filled),
+pairs AS (SELECT unique_id, y, lag(y) OVER w AS x, y - lag(y) OVER w AS d, lag(y) OVER w - lag(y, 2) OVER w AS e
+  FROM filled WINDOW w AS (PARTITION BY unique_id ORDER BY Date)),
 slopes AS (SELECT unique_id, SUM(x * y) / SUM(x * x) AS phi FROM pairs WHERE x IS NOT NULL GROUP BY unique_id),
-ends AS (SELECT unique_id, arg_max(Weekly_Sales, Date) AS last_y, MAX(Date) AS last_d, COUNT(*) AS n FROM train GROUP BY unique_id)""", """
+turns AS (SELECT unique_id, SUM(d * e) / SUM(e * e) AS psi FROM pairs WHERE e IS NOT NULL GROUP BY unique_id),
+ends AS (SELECT unique_id, arg_max(Weekly_Sales, Date) AS last_y, MAX(Date) AS last_d, COUNT(*) AS n FROM train GROUP BY unique_id),
+steps AS (SELECT f.unique_id, last_y - y AS last_step FROM filled f JOIN ends e ON e.unique_id = f.unique_id AND f.Date = last_d - 7)""", """
 SELECT label, v.unique_id, v.Date AS ds, Weekly_Sales AS y, coalesce(n < 52, TRUE) AS used_fallback,
-  round(CASE WHEN label = 'underfit_2' AND n >= 52 THEN last_y * pow(phi, (v.Date - last_d) / 7) ELSE last_y END) AS prediction
-FROM valid v CROSS JOIN (VALUES ('underfit_1'), ('underfit_2')) AS c(label)
-     LEFT JOIN ends e ON e.unique_id = v.unique_id LEFT JOIN slopes s ON s.unique_id = v.unique_id"""))
+  round(CASE WHEN label = 'underfit_2' AND n >= 52 THEN last_y * pow(phi, (v.Date - last_d) / 7)
+             WHEN label = 'underfit_4' AND n >= 52 THEN last_y + last_step * psi * (1 - pow(psi, (v.Date - last_d) / 7)) / (1 - psi)
+             ELSE last_y END, 2) AS prediction
+FROM valid v CROSS JOIN (VALUES ('underfit_1'), ('underfit_2'), ('underfit_4')) AS c(label)
+     LEFT JOIN ends e ON e.unique_id = v.unique_id LEFT JOIN slopes s ON s.unique_id = v.unique_id
+     LEFT JOIN turns t ON t.unique_id = v.unique_id LEFT JOIN steps p ON p.unique_id = v.unique_id"""))
 def per_series_ar(spark, sf_dir):
-    """Orders (0, 1, 0) and (1, 0, 0), forecasts in whole cents."""
-    out = _held_out(_sweep(spark, sf_dir, "ARIMA", grids.pick(grids.arima(), "underfit_1", "underfit_2")))
-    return out.withColumn("prediction", F.round("prediction", 0))
+    """Orders (0, 1, 0), (1, 0, 0) and (1, 1, 0)."""
+    out = _held_out(_sweep(spark, sf_dir, "ARIMA", grids.pick(grids.arima(), "underfit_1", "underfit_2", "underfit_4")))
+    return out.withColumn("prediction", F.round("prediction", 2))
+
+
+# (0, 1, 1)(0, 1, 1) at stated coefficients: the shocks follow their recursion week by week.
+CELLS = [[a, b] for a in (-0.8, -0.4, 0.0, 0.4, 0.8) for b in (-0.8, -0.4, 0.0, 0.4, 0.8)]
+SEASONAL = grids.pick(grids.seasonal_arima(), "balanced_2")[0]
+SHOCK = "ys[i + 1] - ys[i] - ys[i - 51] + ys[i - 52] - a * es[i] - b * es[i - 51] - a * b * es[i - 52]"
+PACKED = """packed AS (SELECT unique_id, list(y ORDER BY Date) AS ys, MAX(Date) AS last_d, CAST(COUNT(*) AS INTEGER) AS n
+  FROM filled GROUP BY unique_id HAVING COUNT(*) > 53)"""
+
+
+@query("seasonal_css_profile", text(r.panel("dense"), r.SPINE.format(source="panel"), KNOWN, PACKED, f"""
+cells AS (SELECT a.unnest AS a, b.unnest AS b FROM unnest([-0.8, -0.4, 0.0, 0.4, 0.8]::DOUBLE[]) a CROSS JOIN unnest([-0.8, -0.4, 0.0, 0.4, 0.8]::DOUBLE[]) b)""",
+    f"""
+SELECT unique_id, a AS theta, b AS seasonal_theta, n - 53 AS n, round(sqrt(list_sum(list_transform(es, lambda e: e * e)) / (n - 53)), 3) AS rmse
+FROM (WITH RECURSIVE walk(unique_id, a, b, n, i, ys, es) AS (
+  SELECT unique_id, a, b, n, 53, ys, list_transform(range(53), lambda x: 0.0::DOUBLE) FROM packed CROSS JOIN cells WHERE n > 106
+  UNION ALL SELECT unique_id, a, b, n, i + 1, ys, list_append(es, {SHOCK}) FROM walk WHERE i < n)
+SELECT * FROM walk WHERE i = n)"""))
+def seasonal_css_profile(spark, sf_dir):
+    """Conditional sum of squares of the seasonal moving-average model on a grid of coefficients, whole history."""
+    out = grouped.css_profile(panel.to_long(_fact(spark, sf_dir)), SEASONAL, CELLS)
+    return out.select("unique_id", F.col("coefs")[0].alias("theta"), F.col("coefs")[1].alias("seasonal_theta"), "n", F.round("rmse", 3).alias("rmse"))
+
+
+@query("forecast_seasonal_model", text(r.panel("dense"), r.CUT, r.SPINE.format(source="train"), KNOWN, PACKED, f"""
+walk AS (SELECT * FROM (WITH RECURSIVE walk(unique_id, a, b, n, last_d, i, ys, es) AS (
+  SELECT unique_id, -0.4::DOUBLE, -0.6::DOUBLE, n, last_d, 53, ys, list_transform(range(53), lambda x: 0.0::DOUBLE) FROM packed
+  UNION ALL SELECT unique_id, a, b, n, last_d, i + 1,
+    CASE WHEN i < n THEN ys ELSE list_append(ys, ys[i] + ys[i - 51] - ys[i - 52] + a * es[i] + b * es[i - 51] + a * b * es[i - 52]) END,
+    list_append(es, CASE WHEN i < n THEN {SHOCK} ELSE 0 END) FROM walk WHERE i < n + 39)
+SELECT * FROM walk WHERE i = n + 39))""", """
+SELECT unique_id, CAST(last_d + 7 * CAST(h AS INTEGER) AS DATE) AS ds, round(ys[n + h], 2) AS prediction
+FROM walk CROSS JOIN range(1, 40) AS steps(h)"""))
+def forecast_seasonal_model(spark, sf_dir):
+    """Forecasts of a stored (0, 1, 1)(0, 1, 1) model with the same coefficients for every series."""
+    train, _ = split.time_split(_fact(spark, sf_dir), tables.HORIZON)
+    long = panel.to_long(train)
+    models = long.select("unique_id").distinct().withColumn("coefs", F.array(F.lit(-0.4), F.lit(-0.6)))
+    out = grouped.forecast_models(models, long, "SARIMA", SEASONAL, tables.HORIZON)
+    return out.withColumn("prediction", F.round("prediction", 2))
 
 
 @query("per_series_arma")
@@ -189,14 +235,26 @@ def sweep_fit(spark, sf_dir):
     return grouped.sweep_report(_sweep(spark, sf_dir, "Additive", configs), grids.config_table(spark, configs))
 
 
-@query("final_refit", text(r.panel("dense"), r.CUT, COMPLETE, """
-SELECT 'balanced_8' AS label, unique_id, 54 AS n_coefs, 'fitted' AS status FROM complete"""))
+@query("final_refit", text(r.panel("dense"), r.CUT, COMPLETE, r.SPINE.format(source="panel"), KNOWN, """
+pairs AS (SELECT unique_id, Date, y, lag(y) OVER w AS x, y - lag(y) OVER w AS d, lag(y) OVER w - lag(y, 2) OVER w AS e
+  FROM filled SEMI JOIN complete USING (unique_id) WINDOW w AS (PARTITION BY unique_id ORDER BY Date)),
+found AS (SELECT unique_id, MIN(Date) AS first, MAX(Date) AS last, MAX(abs(y)) AS scale,
+  SUM(x * y) / SUM(x * x) AS phi, SUM(d * e) / SUM(e * e) AS psi FROM pairs GROUP BY unique_id)""", """
+SELECT 'balanced_8' AS label, unique_id, 54 AS n_coefs, 'fitted' AS status, CAST(first - DATE '1970-01-01' AS DOUBLE) AS first_day,
+  CAST(last - first AS DOUBLE) AS span, scale, CAST(NULL AS DOUBLE) AS phi FROM found
+UNION ALL SELECT 'underfit_2', unique_id, 1, 'fitted', NULL, NULL, NULL, round(phi, 9) FROM found
+UNION ALL SELECT 'underfit_4', unique_id, 1, 'fitted', NULL, NULL, NULL, round(psi, 9) FROM found"""))
 def final_refit(spark, sf_dir):
-    config = grids.pick(grids.additive(), "balanced_8")[0]
+    """The best additive configuration and two autoregressions on every complete series."""
     fact = _fact(spark, sf_dir)
-    long = joins.semi_join_ids(panel.to_long(fact), complete_ids(fact))
-    models = grouped.final_refit(long, "Additive", config)
-    return models.select("label", "unique_id", F.size("coefs").alias("n_coefs"), "status")
+    long = staging.write_once(joins.semi_join_ids(panel.to_long(fact), complete_ids(fact)), "complete")
+    head = [F.when(F.size("coefs") > 1, F.col("coefs")[i]).alias(c) for i, c in enumerate(("first_day", "span", "scale"))]
+    parts = [grouped.final_refit(long, family, config) for family, make, label in (
+        ("Additive", grids.additive, "balanced_8"), ("ARIMA", grids.arima, "underfit_2"), ("ARIMA", grids.arima, "underfit_4"))
+        for config in grids.pick(make(), label)]
+    models = parts[0].union(parts[1]).union(parts[2])
+    return models.select("label", "unique_id", F.size("coefs").alias("n_coefs"), "status", *head,
+                         F.when(F.size("coefs") == 1, F.round(F.col("coefs")[0], 9)).alias("phi"))
 
 
 @query("forecast_stored_models")

@@ -1,8 +1,8 @@
 """Per-series models: every configuration on every series in one Spark job.
 
 A series is packed into one row of arrays (its weeks, so the row is bounded by the calendar).
-Series are spread over the tasks by one shuffle, crossed with the literal configuration table on
-the spot, and fitted in Arrow batches; only forecasts or coefficients leave the task.
+Series are spread over the tasks by one shuffle and fitted in Arrow batches with every configuration
+of the list in turn; only forecasts or coefficients leave the task.
 """
 
 import json
@@ -14,10 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import holiday_code
-from ..operators.joins import cross_configs
 from ..operators.metrics import run_report
 from ..operators.panel import interpolate_linear, weekly_spine
-from . import solvers
+from . import arma, solvers
 
 MIN_TRAIN = 52
 
@@ -55,18 +54,28 @@ def _arrays(row, part: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return days, y, hol
 
 
-def fit_series(family: str, cfg: dict, days: np.ndarray, y: np.ndarray, holidays: np.ndarray) -> np.ndarray:
-    if family in ("ARIMA", "SARIMA"):
-        return solvers.arma_fit(y, cfg)
-    if family == "Additive":
-        return solvers.additive_fit(days, y, holidays, cfg)
-    return solvers.basis_fit(days[-cfg["input_size"]:], y[-cfg["input_size"]:], cfg)
+RECURSIVE = ("ARIMA", "SARIMA")
+
+
+def fit_series(family: str, cfg: dict, series: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray | None]:
+    """Coefficients of each (days, y, holidays); None where the fit fails."""
+    if family in RECURSIVE:
+        found = arma.fit_many([y for _, y, _ in series], cfg)
+    else:
+        found = []
+        for days, y, holidays in series:
+            try:
+                found.append(solvers.additive_fit(days, y, holidays, cfg) if family == "Additive"
+                             else solvers.basis_fit(days[-cfg["input_size"]:], y[-cfg["input_size"]:], cfg))
+            except (ValueError, np.linalg.LinAlgError):
+                found.append(None)
+    return [w if w is not None and np.isfinite(w).all() else None for w in found]
 
 
 def forecast_series(family, cfg, coefs, days, y, ahead_days, ahead_holidays) -> np.ndarray:
     if len(ahead_days) == 0:
         return np.empty(0)
-    if family in ("ARIMA", "SARIMA"):
+    if family in RECURSIVE:
         steps = ((ahead_days - days[-1]) / 7).round().astype(int)
         return solvers.arma_forecast(y, coefs, cfg, int(steps.max()))[steps - 1]
     if family == "Additive":
@@ -75,7 +84,7 @@ def forecast_series(family, cfg, coefs, days, y, ahead_days, ahead_holidays) ->
 
 
 def fitted_series(family, cfg, coefs, days, y, holidays) -> np.ndarray:
-    if family in ("ARIMA", "SARIMA"):
+    if family in RECURSIVE:
         return solvers.arma_fitted(y, coefs, cfg)
     if family == "Additive":
         return solvers.additive_predict(days, holidays, coefs, cfg)
@@ -91,38 +100,54 @@ def on_weekly_grid(days: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.interp(grid, days[known], y[known])
 
 
-def _one(family: str, cfg: dict, row, min_train: int) -> dict[str, np.ndarray]:
-    days, y, hol = _arrays(row, "train")
-    ahead, actual, ahead_hol = _arrays(row, "valid")
-    known = y[np.isfinite(y)]
-    fallback = known[-1] if known.size else np.nan
-    fitted, failed = np.full(len(y), np.nan), True
-    forecast = np.full(len(ahead), fallback)
-    if len(y) >= min_train and known.size:
-        try:
-            with np.errstate(all="ignore"):
-                grid = np.arange(days[0], days[-1] + 1, 7)
-                dense = on_weekly_grid(days, y)
-                recursive = family in ("ARIMA", "SARIMA")
-                fit_days, fit_y = (grid, dense) if recursive else (days[np.isfinite(y)], known)
-                fit_hol = hol if recursive else hol[np.isfinite(y)]
-                coefs = fit_series(family, cfg, fit_days, fit_y, fit_hol)
-                ahead_values = forecast_series(family, cfg, coefs, fit_days, fit_y, ahead, ahead_hol)
-                inside = fitted_series(family, cfg, coefs, fit_days if recursive else days, fit_y if recursive else y, hol)
-            plausible = solvers.is_plausible(ahead_values, known)
+class _Series:
+    """One packed row and what every configuration needs of it."""
+
+    def __init__(self, row, recursive: bool):
+        self.id = row.unique_id
+        self.days, self.y, self.hol = _arrays(row, "train")
+        self.ahead, self.actual, self.ahead_hol = _arrays(row, "valid")
+        seen = np.isfinite(self.y)
+        self.known = self.y[seen]
+        if recursive:
+            grid = np.arange(self.days[0], self.days[-1] + 1, 7) if self.known.size else self.days[:0]
+            self.fit_on = grid, on_weekly_grid(self.days, self.y) if self.known.size else self.known, self.hol
+        else:
+            self.fit_on = self.days[seen], self.known, self.hol[seen]
+
+    def scored(self, family: str, cfg: dict, label: str, coefs: np.ndarray | None) -> dict[str, np.ndarray]:
+        """Rows of this series: fitted and forecast values, or its last value as forecast."""
+        fitted, failed = np.full(len(self.y), np.nan), True
+        forecast = np.full(len(self.ahead), self.known[-1] if self.known.size else np.nan)
+        if coefs is not None:
+            fit_days, fit_y, _ = self.fit_on
+            values = forecast_series(family, cfg, coefs, fit_days, fit_y, self.ahead, self.ahead_hol)
+            plausible = solvers.is_plausible(values, self.known)
             if plausible:
-                forecast, failed = ahead_values, False
-            if plausible or recursive:
-                fitted = inside[((days - days[0]) / 7).astype(int)] if recursive else inside
-        except (ValueError, np.linalg.LinAlgError):
-            pass
-    n = len(days) + len(ahead)
-    return {
-        "label": np.full(n, row.label, object), "unique_id": np.full(n, row.unique_id, object),
-        "ds": np.concatenate([days, ahead]), "IsHoliday": np.concatenate([hol, ahead_hol]) > 0,
-        "is_train": np.arange(n) < len(days), "y": np.concatenate([y, actual]),
-        "prediction": np.concatenate([fitted, forecast]), "used_fallback": np.full(n, failed),
-    }
+                forecast, failed = values, False
+            if family in RECURSIVE:
+                inside = fitted_series(family, cfg, coefs, fit_days, fit_y, self.hol)
+                fitted = inside[((self.days - self.days[0]) / 7).astype(int)]
+            elif plausible:
+                fitted = fitted_series(family, cfg, coefs, self.days, self.y, self.hol)
+        n = len(self.days) + len(self.ahead)
+        return {
+            "label": np.full(n, label, object), "unique_id": np.full(n, self.id, object),
+            "ds": np.concatenate([self.days, self.ahead]), "IsHoliday": np.concatenate([self.hol, self.ahead_hol]) > 0,
+            "is_train": np.arange(n) < len(self.days), "y": np.concatenate([self.y, self.actual]),
+            "prediction": np.concatenate([fitted, forecast]), "used_fallback": np.full(n, failed),
+        }
+
+
+def _sweep(family: str, configs: list[tuple[str, dict]], rows, min_train: int) -> Iterator[dict[str, np.ndarray]]:
+    """Every configuration on the series of one batch."""
+    series = [_Series(row, family in RECURSIVE) for row in rows]
+    able = [i for i, s in enumerate(series) if len(s.y) >= min_train and s.known.size]
+    for label, cfg in configs:
+        with np.errstate(all="ignore"):
+            found = dict(zip(able, fit_series(family, cfg, [series[i].fit_on for i in able])))
+            for i, s in enumerate(series):
+                yield s.scored(family, cfg, label, found.get(i))
 
 
 def _frames(parts: Iterator[dict], rows: int = 20_000) -> Iterator[pd.DataFrame]:
@@ -154,14 +179,34 @@ def sweep_fit(
 
     A series that is too short or fails to fit forecasts its last value and is flagged.
     """
-    jobs = cross_configs(pack_series(long, cutoff), configs.select("label", "params"))
+    # the configurations are a literal list: each task holds them and reads a series once
+    listed = [(r.label, json.loads(r.params)) for r in configs.select("label", "params").collect()]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _frames(part for batch in batches for part in _sweep(family, listed, batch.itertuples(index=False), min_train))
+
+    return _null_missing(pack_series(long, cutoff).mapInPandas(run, FITTED))
+
+
+def css_profile(long: DataFrame, config: dict, coefs: list[list[float]]) -> DataFrame:
+    """(unique_id, coefs, n, rmse): size of the one-step errors of every series at each of the given coefficients.
+
+    Gap weeks are filled on a straight line; a series too short for the differences gives no rows.
+    """
+    reach = arma.Orders(config).reach + arma.Orders(config).d + arma.Orders(config).sd * arma.Orders(config).period
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _frames(
-            _one(family, json.loads(row.params), row, min_train)
-            for batch in batches for row in batch.itertuples(index=False))
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                days, y, _ = _arrays(row, "train")
+                if not np.isfinite(y).any() or (days[-1] - days[0]) / 7 + 1 <= reach:
+                    continue
+                n, sums = arma.css(on_weekly_grid(days, y), coefs, config)
+                out += [(row.unique_id, list(map(float, c)), n, float(np.sqrt(v / n))) for c, v in zip(coefs, sums)]
+            yield pd.DataFrame(out, columns=["unique_id", "coefs", "n", "rmse"])
 
-    return _null_missing(jobs.mapInPandas(run, FITTED))
+    return pack_series(long).mapInPandas(run, "unique_id string, coefs array<double>, n int, rmse double")
 
 
 def sweep_report(fits: DataFrame, configs: DataFrame) -> DataFrame:
@@ -179,17 +224,11 @@ def final_refit(long: DataFrame, family: str, config: dict) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                days, y, hol = _arrays(row, "train")
-                try:
-                    with np.errstate(all="ignore"):
-                        coefs = fit_series(family, config, days, y, hol)
-                    ok = bool(np.isfinite(coefs).all())
-                except (ValueError, np.linalg.LinAlgError):
-                    coefs, ok = np.empty(0), False
-                out.append((label, row.unique_id, list(map(float, coefs)) if ok else None, "fitted" if ok else "failed"))
-            yield pd.DataFrame(out, columns=["label", "unique_id", "coefs", "status"])
+            with np.errstate(all="ignore"):
+                found = fit_series(family, config, [_arrays(row, "train") for row in batch.itertuples(index=False)])
+            yield pd.DataFrame({
+                "label": label, "unique_id": batch["unique_id"], "coefs": [None if w is None else list(map(float, w)) for w in found],
+                "status": ["failed" if w is None else "fitted" for w in found]})
 
     return pack_series(full).mapInPandas(run, STORED)
 
@@ -206,16 +245,14 @@ def forecast_models(models: DataFrame, long: DataFrame, family: str, config: dic
     jobs = jobs.withColumn("ahead", days).withColumn(
         "ahead_holiday", F.expr(f"transform(ahead, d -> {holiday_code('date_from_unix_date(d)')})"))
 
+    def ahead(row) -> dict[str, np.ndarray] | None:
+        past, y, _ = _arrays(row, "train")
+        days = np.asarray(row.ahead, dtype=float)
+        with np.errstate(all="ignore"):
+            values = forecast_series(family, config, np.asarray(row.coefs, dtype=float), past, y, days, np.asarray(row.ahead_holiday, dtype=float))
+        return {"unique_id": np.full(len(days), row.unique_id, object), "ds": days, "prediction": values} if solvers.is_plausible(values, y) else None
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                past, y, _ = _arrays(row, "train")
-                ahead = np.asarray(row.ahead, dtype=float)
-                with np.errstate(all="ignore"):
-                    values = forecast_series(family, config, np.asarray(row.coefs, dtype=float), past, y,
-                                             ahead, np.asarray(row.ahead_holiday, dtype=float))
-                if solvers.is_plausible(values, y):
-                    yield pd.DataFrame({"unique_id": row.unique_id, "ds": pd.to_datetime(ahead, unit="D"),
-                                        "prediction": values})
+        return _frames(part for batch in batches for part in map(ahead, batch.itertuples(index=False)) if part is not None)
 
     return jobs.mapInPandas(run, FORECAST)

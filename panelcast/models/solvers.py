@@ -2,100 +2,9 @@
 
 import numpy as np
 
-
-def difference(y: np.ndarray, d: int, seasonal_d: int = 0, period: int = 0) -> np.ndarray:
-    for _ in range(seasonal_d):
-        y = y[period:] - y[:-period]
-    return np.diff(y, n=d) if d else y
-
-
-def _lags(z: np.ndarray, orders: list[int], start: int) -> np.ndarray:
-    return np.column_stack([z[start - k: len(z) - k] for k in orders]) if orders else np.empty((len(z) - start, 0))
-
-
-def _least_squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.linalg.lstsq(x, y, rcond=None)[0]
-
-
-def _orders(cfg: dict) -> tuple[list[int], list[int], int, int, int, bool]:
-    p, d, q = cfg["order"]
-    sp, sd, sq, period = cfg.get("seasonal_order", (0, 0, 0, 0))
-    ar = list(range(1, p + 1)) + [period * k for k in range(1, sp + 1)]
-    ma = list(range(1, q + 1)) + [period * k for k in range(1, sq + 1)]
-    return ar, ma, d, sd, period, cfg.get("trend", "n") == "c"
-
-
-def _residuals(z: np.ndarray, coefs: np.ndarray, ar: list[int], ma: list[int], const: bool) -> np.ndarray:
-    """One-step shocks, zero before the first week with a full history."""
-    base, phi, theta = coefs[0] if const else 0.0, *np.split(coefs[int(const):], [len(ar)])
-    start = max(ar + ma + [0])
-    known = np.zeros(len(z))
-    known[start:] = z[start:] - base - _lags(z, ar, start) @ phi
-    if not ma:
-        return known
-    e, weights = known.tolist(), list(zip(ma, theta.tolist()))
-    for t in range(start, len(e)):
-        for k, c in weights:
-            e[t] -= c * e[t - k]
-    return np.array(e)
-
-
-def arma_fit(y: np.ndarray, cfg: dict) -> np.ndarray:
-    """Coefficients [const?, ar..., ma...] by two-stage least squares.
-
-    Stage one estimates the shocks from a long autoregression, stage two regresses the differenced
-    series on its own lags and the lagged shocks.
-    """
-    ar, ma, d, sd, period, const = _orders(cfg)
-    z = difference(y, d, sd, period)
-    reach = max(ar + ma + [0])
-    if len(z) < reach + len(ar) + len(ma) + 8:
-        raise ValueError("series too short for this order")
-    shocks = np.zeros(len(z))
-    if ma:
-        short = [k for k in ar + ma if not period or k < period]
-        long = min(max([2 * k for k in short] + [4]), len(z) // 4)
-        x = np.column_stack([np.ones(len(z) - long), _lags(z, list(range(1, long + 1)), long)])
-        shocks[long:] = z[long:] - x @ _least_squares(x, z[long:])
-    x = np.hstack([_lags(z, ar, reach), _lags(shocks, ma, reach)])
-    if const:
-        x = np.column_stack([np.ones(len(x)), x])
-    return _least_squares(x, z[reach:]) if x.shape[1] else np.empty(0)
-
-
-def arma_forecast(y: np.ndarray, coefs: np.ndarray, cfg: dict, steps: int) -> np.ndarray:
-    """Recursive forecast with zero future shocks, differencing undone."""
-    ar, ma, d, sd, period, const = _orders(cfg)
-    z = difference(y, d, sd, period)
-    e = list(_residuals(z, coefs, ar, ma, const))
-    z = list(z)
-    base, phi, theta = coefs[0] if const else 0.0, *np.split(coefs[int(const):], [len(ar)])
-    n = len(z)
-    for _ in range(steps):
-        z.append(base + sum(c * z[-k] for c, k in zip(phi, ar)) + sum(c * e[-k] for c, k in zip(theta, ma)))
-        e.append(0.0)
-    out = np.array(z[n:])
-    level = y
-    for _ in range(sd):
-        level = level[period:] - level[:-period]
-    for i in range(d, 0, -1):
-        out = np.diff(level, n=i - 1)[-1] + np.cumsum(out)
-    for i in range(sd, 0, -1):
-        past = list(difference(y, 0, i - 1, period))
-        for v in out:
-            past.append(v + past[-period])
-        out = np.array(past[-steps:])
-    return out
-
-
-def arma_fitted(y: np.ndarray, coefs: np.ndarray, cfg: dict) -> np.ndarray:
-    """One-step fitted values; NaN in the first weeks, which have no full history."""
-    ar, ma, d, sd, period, const = _orders(cfg)
-    z = difference(y, d, sd, period)
-    reach, shift = max(ar + ma + [0]), len(y) - len(z)
-    fitted = np.full(len(y), np.nan)
-    fitted[shift + reach:] = y[shift + reach:] - _residuals(z, coefs, ar, ma, const)[reach:]
-    return fitted
+from .arma import fit as arma_fit  # noqa: F401
+from .arma import fitted as arma_fitted  # noqa: F401
+from .arma import forecast as arma_forecast  # noqa: F401
 
 
 def additive_design(days: np.ndarray, cfg: dict, first: float, span: float, holidays: np.ndarray) -> np.ndarray:
