@@ -21,16 +21,76 @@ def _trend_columns(cfg: dict) -> int:
     return 2 + cfg.get("n_changepoints", 25)
 
 
-def _penalties(cfg: dict) -> np.ndarray:
+def _scales(cfg: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Widths of the Gaussian priors (level, slope, season, events) and of the Laplace priors of the trend changes.
+
+    Columns without a Gaussian prior have an infinite width and the other way round.
+    """
     knots, pairs = cfg.get("n_changepoints", 25), cfg["yearly_seasonality"]
-    scale = [5.0, 5.0] + [cfg["changepoint_prior_scale"]] * knots
-    scale += [cfg["seasonality_prior_scale"]] * (2 * pairs) + [cfg["holidays_prior_scale"]] * 4
-    return 1.0 / np.square(scale)
+    gauss = [5.0, 5.0] + [np.inf] * knots + [cfg["seasonality_prior_scale"]] * (2 * pairs) + [cfg["holidays_prior_scale"]] * 4
+    laplace = [np.inf, np.inf] + [cfg["changepoint_prior_scale"]] * knots + [np.inf] * (2 * pairs + 4)
+    return np.array(gauss), np.array(laplace)
+
+
+def _lasso(gram: np.ndarray, moment: np.ndarray, l1: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Minimum of w'Gw/2 - m'w + sum(l1 |w|), exactly, by signs taken as given and mended.
+
+    With the signs of the moving coordinates given, the minimum solves linear equations.  On the way
+    there some may reach zero; the best point on the way is taken and the rest tried again.  Then the
+    coordinate joins that is pulled hardest beyond its threshold.  Each step lowers the sum.
+    """
+    w, signs = start.copy(), np.sign(start)
+    slack = 1e-9 * (1 + np.abs(moment).max(initial=0))
+    for _ in range(40 * len(moment)):
+        while signs.any():
+            on = np.flatnonzero(signs)
+            part = gram[np.ix_(on, on)]
+            goal = np.linalg.solve(part, moment[on] - l1[on] * signs[on])
+            here = w[on]
+            kept = goal * signs[on] > 0
+            if kept.all():
+                w[on] = goal
+                break
+            way = goal - here
+            turns = ~kept & (here != 0)
+            tried = here + np.r_[-here[turns] / way[turns], 1.0][:, None] * way
+            tried[np.abs(tried) < 1e-14] = 0.0
+            worth = ((tried @ part) * tried).sum(axis=1) / 2 - tried @ moment[on] + np.abs(tried) @ l1[on]
+            w[on] = tried[np.argmin(worth)]
+            signs = np.sign(w)
+            if (w[on] == here).all():  # no way down is left for these signs
+                break
+        pull = moment - gram @ w
+        beyond = np.where(signs == 0, np.abs(pull) - l1, -np.inf)
+        j = int(np.argmax(beyond))
+        if beyond[j] <= slack:
+            break
+        signs[j] = np.sign(pull[j])
+    return w
+
+
+def sparse_ridge(gram: np.ndarray, moment: np.ndarray, l2: np.ndarray, l1: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+    """Minimum of w'Gw/2 - m'w + sum(l2 w^2)/2 + sum(l1 |w|) from the Gram matrix alone.
+
+    Columns without a Laplace prior (``l1`` of 0) are eliminated, which leaves a lasso in the others;
+    it begins at ``start``, weights of a similar problem.
+    """
+    smooth, kinked = np.flatnonzero(l1 == 0), np.flatnonzero(l1)
+    full = gram + np.diag(l2 + 1e-9)
+    if not len(kinked):
+        return np.linalg.solve(full, moment)
+    w = np.zeros(len(moment)) if start is None else start.copy()
+    cross = full[np.ix_(kinked, smooth)]
+    inner = np.linalg.solve(full[np.ix_(smooth, smooth)], np.column_stack([cross.T, moment[smooth]]))
+    w[kinked] = _lasso(full[np.ix_(kinked, kinked)] - cross @ inner[:, :-1], moment[kinked] - cross @ inner[:, -1], l1[kinked], w[kinked])
+    w[smooth] = inner[:, -1] - inner[:, :-1] @ w[kinked]
+    return w
 
 
 def additive_fit(days: np.ndarray, y: np.ndarray, holidays: np.ndarray, cfg: dict) -> np.ndarray:
-    """[first day, span, scale, weights...]: Gaussian priors as a ridge penalty.
+    """[first day, span, scale, weights...]: Laplace priors on the trend changes, Gaussian ones on the rest.
 
+    The most likely weights for a noise level, then the level from their errors, a few times over.
     The multiplicative form is trend * (1 + season); its two parts are fitted in turn, which takes
     sales of any sign.
     """
@@ -38,22 +98,23 @@ def additive_fit(days: np.ndarray, y: np.ndarray, holidays: np.ndarray, cfg: dic
     scale = float(np.abs(y).max()) or 1.0
     target = y / scale
     x = additive_design(days, cfg, first, span, holidays)
-    penalty, noise = _penalties(cfg), 0.1
+    (gauss, laplace), noise = _scales(cfg), 0.1
 
-    def ridge(part, goal, cols):
-        return np.linalg.solve(part.T @ part + np.diag(noise ** 2 * penalty[cols] + 1e-9), part.T @ goal)
+    def most_likely(part, goal, cols, before):
+        return sparse_ridge(part.T @ part, part.T @ goal, noise ** 2 / gauss[cols] ** 2, noise ** 2 / laplace[cols], before)
 
     if cfg.get("seasonality_mode") != "multiplicative":
-        for _ in range(2):
-            w = ridge(x, target, slice(None))
+        w, gram, moment = None, x.T @ x, x.T @ target
+        for _ in range(3):
+            w = sparse_ridge(gram, moment, noise ** 2 / gauss ** 2, noise ** 2 / laplace, w)
             noise = max(float(np.std(target - x @ w)), 1e-4)
         return np.concatenate([[first, span, scale], w])
     n = _trend_columns(cfg)
-    season = np.zeros(len(y))
+    season, trend_w = np.zeros(len(y)), None
     for _ in range(6):
-        trend_w = ridge(x[:, :n] * (1 + season)[:, None], target, slice(n))
+        trend_w = most_likely(x[:, :n] * (1 + season)[:, None], target, slice(n), trend_w)
         trend = x[:, :n] @ trend_w
-        season_w = ridge(x[:, n:] * trend[:, None], target - trend, slice(n, None))
+        season_w = most_likely(x[:, n:] * trend[:, None], target - trend, slice(n, None), None)
         season = x[:, n:] @ season_w
         noise = max(float(np.std(target - trend * (1 + season))), 1e-4)
     return np.concatenate([[first, span, scale], trend_w, season_w])
