@@ -10,7 +10,7 @@ from ..operators.ledger import best_run
 from ..plans import global_model, inference, series_models
 from ..sources import files, staging, tables
 from . import registry as r
-from .panels import COMPLETE, complete_ids, merged
+from .panels import COMPLETE, complete_ids, feature_ctes, merged
 from .registry import query, text
 from .windows import KNOWN
 
@@ -271,32 +271,102 @@ def forecast_stored_models(spark, sf_dir):
 
 @query("decomp_linear")
 def decomp_linear(spark, sf_dir):
+    """All configurations of the decomposed linear map on every series, from one scan for the sums."""
     fact = _fact(spark, sf_dir)
-    return linear.decomposed_linear(panel.to_long(fact), split.cutoff_value(fact, tables.HORIZON), tables.HORIZON)
+    return _held_out(linear.decomposed_grid(panel.to_long(fact), split.cutoff_value(fact, tables.HORIZON), tables.HORIZON, grids.decomposed_linear()))
+
+
+# With two weeks as input and no smoothing the map is a regression on the last two weeks, one a step.
+@query("decomp_linear_two_weeks", text(r.panel("dense"), r.CUT, r.SPINE.format(source="train"), KNOWN, """
+stats AS (SELECT unique_id, quantile_cont(y, 0.5) AS center, coalesce(NULLIF(quantile_cont(y, 0.75) - quantile_cont(y, 0.25), 0), 1) AS spread
+  FROM filled GROUP BY unique_id),
+scaled AS (SELECT unique_id, Date, (y - center) / spread AS s, lag((y - center) / spread) OVER w AS s1,
+  row_number() OVER (PARTITION BY unique_id ORDER BY Date DESC) AS back
+  FROM filled JOIN stats USING (unique_id) WINDOW w AS (PARTITION BY unique_id ORDER BY Date)),
+pairs AS (SELECT a.s AS x1, a.s1 AS x2, b.s AS y, CAST((b.Date - a.Date) / 7 AS INTEGER) AS h
+  FROM scaled a JOIN scaled b ON b.unique_id = a.unique_id AND b.Date > a.Date AND b.Date <= a.Date + 273
+  WHERE a.s1 IS NOT NULL AND a.back > 39),
+sums AS (SELECT h, AVG(x1) AS m1, AVG(x2) AS m2, AVG(y) AS my, var_pop(x1) AS v1, var_pop(x2) AS v2, covar_pop(x1, x2) AS c,
+  covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2 FROM pairs GROUP BY h),
+weights AS (SELECT h, m1, m2, my, (c1 * v2 - c2 * c) / (v1 * v2 - c * c) AS w1, (c2 * v1 - c1 * c) / (v1 * v2 - c * c) AS w2 FROM sums)""", """
+SELECT v.unique_id, v.Date AS ds, v.Weekly_Sales AS y, round((my + w1 * (s - m1) + w2 * (s1 - m2)) * spread + center, 0) AS prediction
+FROM valid v JOIN scaled e ON e.unique_id = v.unique_id AND back = 1 AND s1 IS NOT NULL JOIN stats t ON t.unique_id = v.unique_id
+     JOIN weights ON h = (v.Date - e.Date) / 7"""))
+def decomp_linear_two_weeks(spark, sf_dir):
+    fact = _fact(spark, sf_dir)
+    config = {"label": "two_weeks", "regime": "plain", "input_size": 2, "moving_avg_window": 1}
+    out = linear.decomposed_grid(panel.to_long(fact), split.cutoff_value(fact, tables.HORIZON), tables.HORIZON, [config], 0.0)
+    out = out.filter("not is_train and not used_fallback and prediction is not null")
+    return out.select("unique_id", "ds", "y", F.round("prediction", 0).alias("prediction"))
 
 
-def _covariate_rows(spark, sf_dir):
-    fact = merged(spark, sf_dir, "dense")
-    ready = clean.shared_features(fact, tables.EVENTS, ("Dept", "Date"))
-    cutoff = split.cutoff_value(_fact(spark, sf_dir), tables.HORIZON)
-    x = ["IsHoliday", "Month", "WeekOfYear", "Fuel_Price", "Size", "Type_A", "Type_B"]
-    filled = ready.fillna({"Fuel_Price": 0.0, "Size": 0})
-    return filled.select("unique_id", F.col("Date").alias("ds"), F.col("Weekly_Sales").alias("y"),
-                         (F.col("Date") < cutoff).alias("is_train"), "IsHoliday", *x[1:]), x
+# Covariates in units of a few, so that sums of products keep their digits: offset and scale of each.
+COVARIATE_UNITS = {
+    **{c: (0, 1) for c in ("IsHoliday", "Month", "WeekOfYear", "Type_A", "Type_B")}, "Year": (1998, 1), "Size": (0, 100_000),
+    "Fuel_Price": (0, 100), "DaysSinceLastHoliday": (0, 100), "DaysToNextHoliday": (0, 100),
+    **{c: (0, 10_000_000) for c in ("Temperature", "CPI", "Unemployment")}, **{f"MarkDown{i}": (0, 100_000_000) for i in range(1, 6)},
+}
 
 
-@query("covariate_ridge")
+def _covariate_rows(spark, sf_dir):
+    ready = clean.shared_features(merged(spark, sf_dir, "dense"), tables.EVENTS, ("Dept", "Date"))
+    cutoff = split.cutoff_value(_fact(spark, sf_dir), tables.HORIZON)
+    units = [((F.col(c).cast("double") - a) / b).alias(c) for c, (a, b) in COVARIATE_UNITS.items()]
+    return ready.select("unique_id", F.col("Date").alias("ds"), F.col("Weekly_Sales").alias("y"), (F.col("Date") < cutoff).alias("is_train"), *units)
+
+
+_N = len(COVARIATE_UNITS)
+_GIVEN = ", ".join(f"coalesce((CAST({c} AS DOUBLE) - {a}) / {b}, 0)" for c, (a, b) in COVARIATE_UNITS.items())
+_SETTINGS = ", ".join("('{label}', {context_length}, {mode}, {ridge})".format(
+    label=c["label"], context_length=c["context_length"], mode=f"'{c['xreg_mode']}'" if c["xreg_mode"] else "NULL",
+    ridge=c["ridge"] if c["ridge"] is not None else "NULL") for c in grids.covariate_ridge())
+
+
+# The ridge equations of every context, order and penalty, solved by elimination over lists.
+@query("covariate_ridge", text(*feature_ctes("dense"), r.CUT, f"""
+settings(label, weeks, mode, ridge) AS (VALUES {_SETTINGS}),
+given AS (SELECT unique_id, Date, Weekly_Sales AS y, Date < cutoff AS past, [{_GIVEN}] AS xs FROM shared CROSS JOIN cut),
+ends AS (SELECT unique_id, MAX(Date) AS last_d FROM given WHERE past GROUP BY unique_id),
+inside AS (SELECT g.*, weeks FROM given g JOIN ends e USING (unique_id), (SELECT DISTINCT weeks FROM settings) s
+  WHERE past AND Date > last_d - 7 * weeks),
+stats AS (SELECT unique_id, weeks, AVG(y) AS m, coalesce(NULLIF(stddev_samp(y), 0), 1) AS s FROM inside GROUP BY unique_id, weeks),
+normal AS (SELECT i.unique_id, i.Date, i.weeks, xs, (y - m) / s AS z FROM inside i JOIN stats t ON t.unique_id = i.unique_id AND t.weeks = i.weeks),
+goals AS (SELECT a.weeks, mode, a.xs, CASE mode WHEN 'base + xreg' THEN a.z - coalesce(b.z, 0) ELSE a.z END AS goal
+  FROM normal a JOIN (SELECT DISTINCT weeks, mode FROM settings WHERE mode IS NOT NULL) d ON d.weeks = a.weeks
+       LEFT JOIN normal b ON b.unique_id = a.unique_id AND b.weeks = a.weeks AND b.Date = a.Date - 364),
+singles AS (SELECT weeks, mode, i, COUNT(*) AS n, AVG(xs[i]) AS mx, AVG(goal) AS mg, stddev_pop(xs[i]) AS dev, covar_pop(xs[i], goal) AS cg
+  FROM goals, range(1, {_N + 1}) AS t(i) GROUP BY weeks, mode, i),
+couples AS (SELECT weeks, mode, i, j, covar_pop(xs[i], xs[j]) AS c FROM goals, range(1, {_N + 1}) AS t(i), range(1, {_N + 1}) AS u(j)
+  GROUP BY weeks, mode, i, j),
+cells AS (SELECT p.label, p.weeks, p.mode, p.ridge, c.i, c.j,
+    CASE WHEN a.dev > 1e-9 AND d.dev > 1e-9 THEN a.n * c.c / (a.dev * d.dev) ELSE 0 END + CASE WHEN c.i = c.j THEN ridge + CASE WHEN a.dev > 1e-9 THEN 0 ELSE 1 END ELSE 0 END AS v,
+    CASE WHEN a.dev > 1e-9 THEN a.n * a.cg / a.dev ELSE 0 END AS rhs
+  FROM couples c JOIN singles a ON a.weeks = c.weeks AND a.mode = c.mode AND a.i = c.i JOIN singles d ON d.weeks = c.weeks AND d.mode = c.mode AND d.i = c.j
+       JOIN settings p ON p.weeks = c.weeks AND p.mode = c.mode),
+lines AS (SELECT label, i, list_append(list(v ORDER BY j), any_value(rhs)) AS line FROM cells GROUP BY label, i),
+tables_ AS (SELECT label, list(line ORDER BY i) AS m FROM lines GROUP BY label),
+solved AS (SELECT * FROM (WITH RECURSIVE step(label, k, m) AS (SELECT label, 1, m FROM tables_
+  UNION ALL SELECT label, k + 1, list_transform(m, lambda line, i: CASE WHEN i = k THEN list_transform(line, lambda x: x / m[k][k])
+    ELSE list_transform(line, lambda x, j: x - line[k] * m[k][j] / m[k][k]) END) FROM step WHERE k <= {_N})
+  SELECT label, list_transform(m, lambda line: line[{_N + 1}]) AS w FROM step WHERE k = {_N + 1})),
+fitted AS (SELECT p.label, p.weeks, list_transform(w, lambda x, i: CASE WHEN devs[i] > 1e-9 THEN x / devs[i] ELSE 0 END) AS w, mg, mxs
+  FROM solved JOIN settings p USING (label)
+       JOIN (SELECT weeks, mode, list(dev ORDER BY i) AS devs, list(mx ORDER BY i) AS mxs, any_value(mg) AS mg FROM singles GROUP BY weeks, mode) s
+         ON s.weeks = p.weeks AND s.mode = p.mode),
+models AS (SELECT label, p.weeks, mode, w, mg - list_dot_product(w, mxs) AS w0 FROM settings p LEFT JOIN fitted f USING (label)),
+rest AS (SELECT q.label, a.unique_id, a.Date, a.weeks, a.z - CASE WHEN mode = 'xreg + base' THEN w0 + list_dot_product(w, xs) ELSE 0 END AS v
+  FROM models q JOIN normal a ON a.weeks = q.weeks),
+latest AS (SELECT label, unique_id, arg_max(v, Date) AS last_v FROM rest GROUP BY label, unique_id)""", """
+SELECT q.label, g.unique_id, g.Date AS ds, g.y, round((coalesce(b.v, last_v) + CASE WHEN mode IS NULL THEN 0 ELSE w0 + list_dot_product(w, xs) END) * s + m, -3) AS prediction
+FROM given g CROSS JOIN models q JOIN latest l ON l.label = q.label AND l.unique_id = g.unique_id
+     JOIN stats t ON t.unique_id = g.unique_id AND t.weeks = q.weeks
+     LEFT JOIN rest b ON b.label = q.label AND b.unique_id = g.unique_id AND b.Date = g.Date - 364
+WHERE NOT past"""))
 def covariate_ridge(spark, sf_dir):
-    """Both orders with ridge 1, scored on the held-out weeks."""
-    rows, x = _covariate_rows(spark, sf_dir)
-    rows = staging.write_once(rows, "covariate-rows")
-    parts = []
-    for order in ("xreg + base", "base + xreg"):
-        out = linear.covariate_ridge(rows, x, order, 1.0).filter(~F.col("is_train"))
-        parts.append(out.select(F.lit(order).alias("xreg_mode"), "unique_id", "ds", "y", "prediction"))
-    return parts[0].unionByName(parts[1])
-
-
+    """The whole grid of contexts, orders and penalties with all covariates, scored on the held-out weeks."""
+    rows = _covariate_rows(spark, sf_dir)
+    out = linear.covariate_grid(rows, list(COVARIATE_UNITS), grids.covariate_ridge()).filter(~F.col("is_train"))
+    return out.select("label", "unique_id", "ds", "y", F.round("prediction", -3).alias("prediction"))
 
 
 # end-to-end jobs

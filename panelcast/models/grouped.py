@@ -49,7 +49,7 @@ def pack_series(long: DataFrame, cutoff: Column | None = None) -> DataFrame:
         F.col(f"{part}.{c}").alias(f"{part}_{c}") for part in ("train", "valid") for c in ("day", "y", "holiday")])
 
 
-def _arrays(row, part: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def arrays(row, part: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     days, y, hol = (np.asarray(getattr(row, f"{part}_{c}"), dtype=float) for c in ("day", "y", "holiday"))
     return days, y, hol
 
@@ -105,8 +105,8 @@ class _Series:
 
     def __init__(self, row, recursive: bool):
         self.id = row.unique_id
-        self.days, self.y, self.hol = _arrays(row, "train")
-        self.ahead, self.actual, self.ahead_hol = _arrays(row, "valid")
+        self.days, self.y, self.hol = arrays(row, "train")
+        self.ahead, self.actual, self.ahead_hol = arrays(row, "valid")
         seen = np.isfinite(self.y)
         self.known = self.y[seen]
         if recursive:
@@ -150,7 +150,7 @@ def _sweep(family: str, configs: list[tuple[str, dict]], rows, min_train: int) -
                 yield s.scored(family, cfg, label, found.get(i))
 
 
-def _frames(parts: Iterator[dict], rows: int = 20_000) -> Iterator[pd.DataFrame]:
+def frames(parts: Iterator[dict], rows: int = 20_000) -> Iterator[pd.DataFrame]:
     """Join the columns of many fits into frames of a few thousand rows."""
     held, size = [], 0
 
@@ -168,7 +168,7 @@ def _frames(parts: Iterator[dict], rows: int = 20_000) -> Iterator[pd.DataFrame]
         yield frame()
 
 
-def _null_missing(out: DataFrame) -> DataFrame:
+def null_missing(out: DataFrame) -> DataFrame:
     return out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("y", "prediction") if c in out.columns})
 
 
@@ -183,9 +183,9 @@ def sweep_fit(
     listed = [(r.label, json.loads(r.params)) for r in configs.select("label", "params").collect()]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _frames(part for batch in batches for part in _sweep(family, listed, batch.itertuples(index=False), min_train))
+        return frames(part for batch in batches for part in _sweep(family, listed, batch.itertuples(index=False), min_train))
 
-    return _null_missing(pack_series(long, cutoff).mapInPandas(run, FITTED))
+    return null_missing(pack_series(long, cutoff).mapInPandas(run, FITTED))
 
 
 def css_profile(long: DataFrame, config: dict, coefs: list[list[float]]) -> DataFrame:
@@ -199,7 +199,7 @@ def css_profile(long: DataFrame, config: dict, coefs: list[list[float]]) -> Data
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):
-                days, y, _ = _arrays(row, "train")
+                days, y, _ = arrays(row, "train")
                 if not np.isfinite(y).any() or (days[-1] - days[0]) / 7 + 1 <= reach:
                     continue
                 n, sums = arma.css(on_weekly_grid(days, y), coefs, config)
@@ -225,7 +225,7 @@ def final_refit(long: DataFrame, family: str, config: dict) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             with np.errstate(all="ignore"):
-                found = fit_series(family, config, [_arrays(row, "train") for row in batch.itertuples(index=False)])
+                found = fit_series(family, config, [arrays(row, "train") for row in batch.itertuples(index=False)])
             yield pd.DataFrame({
                 "label": label, "unique_id": batch["unique_id"], "coefs": [None if w is None else list(map(float, w)) for w in found],
                 "status": ["failed" if w is None else "fitted" for w in found]})
@@ -246,13 +246,13 @@ def forecast_models(models: DataFrame, long: DataFrame, family: str, config: dic
         "ahead_holiday", F.expr(f"transform(ahead, d -> {holiday_code('date_from_unix_date(d)')})"))
 
     def ahead(row) -> dict[str, np.ndarray] | None:
-        past, y, _ = _arrays(row, "train")
+        past, y, _ = arrays(row, "train")
         days = np.asarray(row.ahead, dtype=float)
         with np.errstate(all="ignore"):
             values = forecast_series(family, config, np.asarray(row.coefs, dtype=float), past, y, days, np.asarray(row.ahead_holiday, dtype=float))
         return {"unique_id": np.full(len(days), row.unique_id, object), "ds": days, "prediction": values} if solvers.is_plausible(values, y) else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _frames(part for batch in batches for part in map(ahead, batch.itertuples(index=False)) if part is not None)
+        return frames(part for batch in batches for part in map(ahead, batch.itertuples(index=False)) if part is not None)
 
     return jobs.mapInPandas(run, FORECAST)
