@@ -373,11 +373,42 @@ def covariate_ridge(spark, sf_dir):
 
 @query("run_global_sweep")
 def run_global_sweep(spark, sf_dir):
-    """Two tree regimes through features, split, fit, score and ledger; the better one."""
+    """The low-capacity regime through features, split, nested fits, scores and ledger; its best run refitted on all weeks.
+
+    Returns the ledger, the winner with the error of the refitted model on the held-out weeks.
+    """
     train, valid = global_model.feature_parts(merged(spark, sf_dir, "dense"), tables.EVENTS, tables.HORIZON)
-    configs = grids.pick(grids.trees(), "low_capacity_1", "low_capacity_3")
+    configs = [c for c in grids.trees() if c["regime"] == "low_capacity"]
     rows = global_model.sweep(train, valid, configs)
-    return best_run(rows).select("experiment", "label", "regime", "train_wmae", "val_wmae", "status")
+    label, pipeline, model = global_model.refit_best(rows, configs, train.unionByName(valid))
+    features, keys, _ = global_model.FAMILIES["categorical"]
+    refit = gbt.prefix_errors(model, gbt.vectors(pipeline, valid, features, keys))[-1]
+    return rows.select("seq", "experiment", "label", "regime", "train_wmae", "val_wmae", "gap_pct", "status", "run_status",
+                       F.col("params")["changed"].alias("changed"), F.when(F.col("label") == label, F.lit(refit)).alias("refit_wmae"))
+
+
+# One tree with one split: the best cut over features of few values, and the mean on either side.
+ONE_SPLIT = ["IsHoliday", "Month", "Year", "Type_A", "Type_B", "Type_C", "Dept"]
+
+
+@query("gbt_one_split", text(*feature_ctes("dense"), r.CUT, f"""
+parts AS (SELECT unique_id, Date, Date < cutoff AS past, Weekly_Sales, unnest([{', '.join(f"{{'f': '{c}', 'i': {i}, 'x': CAST({c} AS DOUBLE)}}" for i, c in enumerate(ONE_SPLIT))}], recursive := true)
+  FROM shared CROSS JOIN cut),
+cells AS (SELECT f, i, x, COUNT(*) AS n, SUM(Weekly_Sales) AS s FROM parts WHERE past GROUP BY f, i, x),
+cuts AS (SELECT f, i, x, SUM(n) OVER w AS n0, SUM(s) OVER w AS s0, SUM(n) OVER a AS n1, SUM(s) OVER a AS s1 FROM cells
+  WINDOW w AS (PARTITION BY f ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY f)),
+best AS (SELECT f, x, s0 / n0 AS low, (s1 - s0) / (n1 - n0) AS high FROM cuts WHERE n0 < n1
+  ORDER BY s0 * s0 / n0 + (s1 - s0) * (s1 - s0) / (n1 - n0) DESC, i LIMIT 1)""", """
+SELECT unique_id, Date, Weekly_Sales, CASE WHEN p.x <= b.x THEN low ELSE high END AS prediction
+FROM parts p JOIN best b ON b.f = p.f WHERE NOT past"""))
+def gbt_one_split(spark, sf_dir):
+    """The smallest boosted model: one tree of depth one."""
+    ready = clean.shared_features(merged(spark, sf_dir, "dense"), tables.EVENTS, ("Dept", "Date"))
+    train, valid = split.time_split(ready, tables.HORIZON)
+    table, pipeline, bins = gbt.prepare(train, ONE_SPLIT)
+    model = gbt.fit_trees(staging.write_once(table, "vectors"), {"n_estimators": 1, "max_depth": 1, "learning_rate": 1.0}, bins)
+    scored = model.transform(gbt.vectors(pipeline, valid, ONE_SPLIT, keep=["unique_id", "Date"]))
+    return scored.select("unique_id", "Date", "Weekly_Sales", "prediction")
 
 
 @query("run_series_sweep")

@@ -4,13 +4,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.scalars import clip_nonnegative, fallback_chain
+from ..functions.scalars import clip_nonnegative, fallback_chain, holiday_weight
 from ..operators.metrics import fit_report, wmae_expr
 from ..operators.rows import to_double
 from ..sources.staging import ensure_checkpoint_dir
@@ -95,6 +95,49 @@ def score_weighted(model: PipelineModel, frame: DataFrame) -> DataFrame:
     return model.transform(to_double(frame, schemas.POSITIONAL_FEATURES))
 
 
+def prepare(frame: DataFrame, features: Sequence[str], keys: Sequence[str] = (), target: str = "Weekly_Sales", keep: Sequence[str] = ()) -> tuple[DataFrame, PipelineModel, int]:
+    """(vector table, pipeline that makes it, bins): indexed and assembled once for any number of fits.
+
+    ``keys`` are taken as categories, as many bins as they have values; ``weight`` is the holiday weight.
+    """
+    numeric = [c for c in features if c not in keys]
+    bins = 32
+    stages = []
+    if keys:
+        sizes = frame.agg(*[F.count_distinct(k).alias(k) for k in keys]).first()
+        bins = max(bins, *[sizes[k] + 2 for k in keys])
+        stages.append(StringIndexer(inputCols=list(keys), outputCols=[f"{k}_index" for k in keys], handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=[f"{c}_index" if c in keys else c for c in features], outputCol="features"))
+    model = Pipeline(stages=stages).fit(fill_for_trees(frame, numeric))
+    return vectors(model, frame, features, keys, target, keep), model, bins
+
+
+def vectors(model: PipelineModel, frame: DataFrame, features: Sequence[str], keys: Sequence[str] = (), target: str = "Weekly_Sales", keep: Sequence[str] = ()) -> DataFrame:
+    ready = model.transform(fill_for_trees(frame, [c for c in features if c not in keys]))
+    held = holiday_weight(F.col("IsHoliday").cast("boolean")).cast("double") if "IsHoliday" in frame.columns else F.lit(1.0)
+    return ready.select("features", F.col(target).cast("double").alias(target), held.alias("weight"), *keep)
+
+
+def fit_trees(table: DataFrame, config: Mapping, bins: int = 32, weighted: bool = False, target: str = "Weekly_Sales") -> GBTRegressionModel:
+    """Boosted trees on a vector table."""
+    params, _ = to_mllib(config)
+    more = {"weightCol": "weight"} if weighted else {}
+    return GBTRegressor(featuresCol="features", labelCol=target, seed=SEED, maxBins=bins, **more, **params).fit(table)
+
+
+def prefix_errors(model: GBTRegressionModel, table: DataFrame) -> list[float]:
+    """Weighted absolute error of the first 1, 2, ... trees of a model, from one pass over a vector table."""
+    return list(model.copy({model.weightCol: "weight"}).evaluateEachIteration(table, "absolute"))
+
+
+def nested(configs: Sequence[Mapping]) -> list[list[Mapping]]:
+    """Configurations that differ in the number of trees alone, most trees first: one fit holds all of a group."""
+    groups: dict[tuple, list[Mapping]] = {}
+    for c in configs:
+        groups.setdefault(tuple(sorted((k, str(v)) for k, v in to_mllib(c)[0].items() if k != "maxIter")), []).append(c)
+    return [sorted(g, key=lambda c: -c["n_estimators"]) for g in groups.values()]
+
+
 def evaluate(scored_train: DataFrame, scored_valid: DataFrame, label: str, target: str = "Weekly_Sales") -> DataFrame:
     """(label, train_wmae, val_wmae, gap_pct, status)."""
     train = scored_train.agg(wmae_expr(target, "prediction").alias("train_wmae"))

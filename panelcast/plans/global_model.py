@@ -1,16 +1,23 @@
 """Train and select one global model: features, split, sweep, ledger, final refit."""
 
 import datetime as dt
+import hashlib
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..models import gbt
 from ..operators import lags, split
 from ..operators.ledger import best_run
-from ..sources.staging import write_once
+from ..operators.metrics import fit_report
+from ..sources.staging import ensure_checkpoint_dir, write_once
 
 
 def feature_parts(merged: DataFrame, events: Sequence[dt.date], horizon: int) -> tuple[DataFrame, DataFrame]:
@@ -21,23 +28,52 @@ def feature_parts(merged: DataFrame, events: Sequence[dt.date], horizon: int) ->
     return frame.filter("is_train"), frame.filter("not is_train")
 
 
-def sweep(train: DataFrame, valid: DataFrame, configs: Sequence[Mapping], experiment: str = "Trees") -> DataFrame:
-    """One distributed fit per configuration -> ledger rows."""
-    rows = None
-    for seq, config in enumerate(configs):
-        model = gbt.train_categorical(train, config)
-        report = gbt.evaluate(gbt.score_categorical(model, train), gbt.score_categorical(model, valid), config["label"])
-        report = report.select(
-            F.lit(seq).alias("seq"), F.lit(experiment).alias("experiment"), "label", F.lit(config["regime"]).alias("regime"),
-            F.create_map(*[F.lit(str(x)) for kv in config.items() for x in kv]).alias("params"),
-            "train_wmae", "val_wmae", "gap_pct", "status", F.lit(0).cast("bigint").alias("fallback_series"),
-            F.lit("FINISHED").alias("run_status"), F.substring(F.md5(F.lit(f"{experiment}|{config}")), 1, 12).alias("run_id"))
-        rows = report if rows is None else rows.unionByName(report)
-    return write_once(rows, "ledger")
+FAMILIES = {"categorical": (schemas.CALENDAR_FEATURES, ("Store", "Dept"), False), "weighted": (schemas.POSITIONAL_FEATURES, (), True)}
 
 
-def refit_best(ledger: DataFrame, configs: Sequence[Mapping], rows: DataFrame) -> tuple[str, PipelineModel]:
-    """The winning configuration on all rows."""
+def sweep(
+    train: DataFrame, valid: DataFrame, configs: Sequence[Mapping], experiment: str = "Trees", family: str = "categorical", at_once: int = 4,
+) -> DataFrame:
+    """Ledger rows of every configuration, in the order given.
+
+    Features are indexed and assembled once.  Configurations that differ in the number of trees share
+    one fit, whose first trees are the smaller model; ``at_once`` fits run side by side.  Names of
+    parameters without a counterpart, or taken at another value, stand under ``changed``.  A fit that
+    fails leaves FAILED rows and the others go on.
+    """
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    features, keys, weighted = FAMILIES[family]
+    table, pipeline, bins = gbt.prepare(train, features, keys)
+    table = write_once(table, "vectors")
+    held_out = write_once(gbt.vectors(pipeline, valid, features, keys), "vectors")
+
+    def fit(group: Sequence[Mapping]) -> dict[str, tuple[float | None, float | None, str]]:
+        try:
+            model = gbt.fit_trees(table, group[0], bins, weighted)
+            inside, outside = gbt.prefix_errors(model, table), gbt.prefix_errors(model, held_out)
+            return {c["label"]: (inside[c["n_estimators"] - 1], outside[c["n_estimators"] - 1], "FINISHED") for c in group}
+        except (PySparkException, Py4JJavaError):
+            return {c["label"]: (None, None, "FAILED") for c in group}
+
+    with ThreadPoolExecutor(at_once) as pool:
+        found = {label: e for part in pool.map(fit, gbt.nested(configs)) for label, e in part.items()}
+    rows = []
+    for seq, c in enumerate(configs):
+        params = {k: str(v) for k, v in c.items()} | {"changed": ",".join(gbt.to_mllib(c)[1])}
+        run_id = hashlib.md5(f"{experiment}|{family}|{dict(c)}".encode()).hexdigest()[:12]
+        inside, outside, state = found[c["label"]]
+        rows.append((seq, experiment, c["label"], c["regime"], params, inside, outside, 0, state, run_id))
+    ledger = spark.createDataFrame(rows, "seq int, experiment string, label string, regime string, params map<string,string>, train_wmae double, "
+                                         "val_wmae double, fallback_series bigint, run_status string, run_id string")
+    return write_once(fit_report(ledger), "ledger")
+
+
+def refit_best(ledger: DataFrame, configs: Sequence[Mapping], rows: DataFrame, family: str = "categorical") -> tuple[str, PipelineModel, GBTRegressionModel]:
+    """(label, feature pipeline, trees) of the winning configuration on all rows."""
     label = best_run(ledger).select("label").first()[0]
     config = next(c for c in configs if c["label"] == label)
-    return label, gbt.train_categorical(rows, config)
+    features, keys, weighted = FAMILIES[family]
+    ensure_checkpoint_dir(rows.sparkSession)
+    table, pipeline, bins = gbt.prepare(rows, features, keys)
+    return label, pipeline, gbt.fit_trees(write_once(table, "vectors"), config, bins, weighted)
