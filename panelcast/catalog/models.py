@@ -373,12 +373,12 @@ def covariate_ridge(spark, sf_dir):
 
 @query("run_global_sweep")
 def run_global_sweep(spark, sf_dir):
-    """The low-capacity regime through features, split, nested fits, scores and ledger; its best run refitted on all weeks.
+    """The regime of small trees through features, split, nested fits, scores and ledger; its best run refitted on all weeks.
 
     Returns the ledger, the winner with the error of the refitted model on the held-out weeks.
     """
     train, valid = global_model.feature_parts(merged(spark, sf_dir, "dense"), tables.EVENTS, tables.HORIZON)
-    configs = [c for c in grids.trees() if c["regime"] == "low_capacity"]
+    configs = [c for c in grids.trees() if c["regime"] == "small"]
     rows = global_model.sweep(train, valid, configs)
     label, pipeline, model = global_model.refit_best(rows, configs, train.unionByName(valid))
     features, keys, _ = global_model.FAMILIES["categorical"]
@@ -426,7 +426,7 @@ def run_inference(spark, sf_dir):
     families, store, ledgers = {"Additive": grids.additive(), "ARIMA": grids.arima()}, staging.new_path(spark, "models"), []
     for family, configs in families.items():
         report = series_models.sweep(long, tables.HORIZON, family, configs, 250)
-        ledgers.append(staging.write_once(series_models.ledger_rows(report, family), "ledger"))
+        ledgers.append(staging.write_once(series_models.ledger_rows(report, family, configs), "ledger"))
         winner = best_run(ledgers[-1]).first()
         if winner is not None:
             files.write_models(grouped.final_refit(long, family, grids.pick(configs, winner.label)[0]), f"{store}/{family}")

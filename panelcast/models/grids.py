@@ -74,23 +74,14 @@ COVARIATE_SETTINGS = {
 
 # Tree regimes: trees, depth and learning rate are crossed; smallest leaf and row share are set.
 TREE_REGIMES = {
-    "low_capacity": {"n_estimators": [10, 20], "max_depth": [1, 2, 3], "learning_rate": [0.3],
+    "small": {"n_estimators": [10, 20], "max_depth": [1, 2, 3], "learning_rate": [0.3],
                      "min_child_samples": [50], "subsample": [1.0]},
-    "mid_capacity": {"n_estimators": [50, 100], "max_depth": [4, 5, 6], "learning_rate": [0.05, 0.1],
+    "medium": {"n_estimators": [50, 100], "max_depth": [4, 5, 6], "learning_rate": [0.05, 0.1],
                      "min_child_samples": [5], "subsample": [0.8]},
-    "high_capacity": {"n_estimators": [200], "max_depth": [8, 9, 10], "learning_rate": [0.01, 0.02],
+    "large": {"n_estimators": [200], "max_depth": [8, 9, 10], "learning_rate": [0.01, 0.02],
                       "min_child_samples": [1], "subsample": [0.9]},
 }
 
-# Best configuration of each tree family.
-BEST_TREES = {
-    "XGBoost": {"label": "refine_4", "regime": "refined", "n_estimators": 2000, "max_depth": 9, "learning_rate": 0.005,
-                "subsample": 0.90, "colsample_bytree": 0.90, "min_child_weight": 1, "reg_lambda": 0.2},
-    "LightGBM": {"label": "balanced_18", "regime": "balanced", "num_leaves": 95, "max_depth": -1, "n_estimators": 300,
-                 "learning_rate": 0.05, "min_child_samples": 20, "subsample": 0.8, "colsample_bytree": 0.8,
-                 "reg_alpha": 0.1, "reg_lambda": 0.5},
-}
-
 # (input weeks, moving-average weeks) of the decomposed linear map; (input weeks, harmonics, polynomials).
 # Keyed by number: rows that differ in training steps alone are one configuration, under the number of the first.
 LINEAR_WINDOWS = {

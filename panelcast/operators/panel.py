@@ -37,10 +37,19 @@ def to_static(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def weekly_spine(long: DataFrame, key: str = "unique_id", date: str = "ds") -> DataFrame:
-    """Every week from the first to the last of each series; new rows have missing values."""
-    span = long.groupBy(key).agg(F.min(date).alias("_a"), F.max(date).alias("_b"))
-    weeks = F.explode(F.sequence("_a", "_b", F.expr("interval 7 days"))).alias(date)
-    return span.select(key, weeks).join(long, [key, date], "left")
+    """Every week from the first to the last of each series; new rows have missing values.
+
+    Each row is followed by the weeks up to the next row of its series, so one shuffle by series is
+    all it takes and what follows by series needs none.  Dates stand whole weeks apart.  Rows
+    without a series or a date are dropped.
+    """
+    following = F.lead(date).over(W.partitionBy(key).orderBy(date))
+    # a repeated week, and the last one, stand alone
+    weeks = F.when(following > F.col(date), F.sequence(F.col(date), F.date_sub(following, 1), F.expr("interval 7 days"))).otherwise(F.array(date))
+    rest = [c for c in long.columns if c not in (key, date)]
+    out = long.filter(F.col(key).isNotNull() & F.col(date).isNotNull()).withColumn("_weeks", weeks)
+    out = out.select(key, F.explode("_weeks").alias("_week"), F.col(date).alias("_known"), *rest)
+    return out.select(key, F.col("_week").alias(date), *[F.when(F.col("_week") == F.col("_known"), F.col(c)).alias(c) for c in rest])
 
 
 def interpolate_linear(spine: DataFrame, target: str = "y", key: str = "unique_id", date: str = "ds") -> DataFrame:

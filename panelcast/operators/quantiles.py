@@ -3,8 +3,8 @@
 ``percentile`` and ``median`` keep every distinct value of a group in one buffer, which is fine
 for a bounded group (a series' weeks) and not for a full table.  Here a mergeable sketch brackets
 the wanted rank, a histogram of fixed size narrows the bracket to one bin, and only the distinct
-values of that bin are ordered.  Nothing wider than the histogram is shuffled.  The column is
-scanned three times, so write an expensive frame to a table first.
+values of that bin are ordered.  Nothing wider than the histogram is shuffled.  The column alone is
+written first, since it is scanned three times.
 """
 
 from collections.abc import Sequence
@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import write_once
+
 BINS = 4096
 ACCURACY = 10_000
 
@@ -57,7 +59,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
     Values must be finite.  An empty column gives no rows.
     """
     raw = F.col(column).cast("double")
-    rows = df.select(raw.alias("x")).filter(raw.isNotNull() & ~F.isnan(raw))
+    rows = write_once(df.select(raw.alias("x")).filter(raw.isNotNull() & ~F.isnan(raw)), "column")
     margin = 3.0 / ACCURACY
     edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)]
     items = [f"named_struct('prob', {float(p)}D, 'lo', q[{2 * i}], 'hi', q[{2 * i + 1}])" for i, p in enumerate(probs)]

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.staging import write_once
 from .quantiles import exact_quantiles
 
 
@@ -50,19 +51,17 @@ def stratified_sample(
     """``n_series // 4`` series from each quartile of mean sales.
 
     Quartile edges are interpolated and right-closed.  The draw orders by a seeded hash, so it
-    does not depend on partitioning; each quartile is a top-n of its own.
+    does not depend on partitioning.  The panel is read once, for the means, which are written; each
+    task keeps the first of its own series in a quartile before those meet.
     """
-    means = long.groupBy(key).agg(F.avg(target).alias("mean_y")).filter("mean_y is not null")
-    edges = exact_quantiles(means, "mean_y", [0.25, 0.5, 0.75]).agg(
-        F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("e")).select(F.col("e.value").alias("edges"))
-    banded = means.crossJoin(F.broadcast(edges)).withColumn(
-        "quartile",
-        F.when(F.col("mean_y") <= F.col("edges")[0], 0).when(F.col("mean_y") <= F.col("edges")[1], 1)
-        .when(F.col("mean_y") <= F.col("edges")[2], 2).otherwise(3))
-    drawn = banded.withColumn("_draw", F.md5(F.concat_ws("|", F.col(key), F.lit(str(seed)))))
-    # one bounded top-n a quartile: no task sees more than its own rows and the winners
-    picked = [drawn.filter(F.col("quartile") == q).orderBy("_draw", key).limit(n_series // 4).select(key, "quartile") for q in range(4)]
-    return picked[0].union(picked[1]).union(picked[2]).union(picked[3])
+    means = write_once(long.groupBy(key).agg(F.avg(target).alias("mean_y")).filter("mean_y is not null"), "means")
+    edges = [r.value for r in exact_quantiles(means, "mean_y", [0.25, 0.5, 0.75]).orderBy("prob").collect()]
+    mean, band = F.col("mean_y"), F.lit(3)
+    for q in reversed(range(len(edges))):
+        band = F.when(mean <= F.lit(edges[q]), q).otherwise(band)
+    drawn = means.select(key, band.alias("quartile"), F.md5(F.concat_ws("|", F.col(key), F.lit(str(seed)))).alias("_draw"))
+    place = F.row_number().over(W.partitionBy("quartile").orderBy("_draw", key))
+    return drawn.withColumn("_place", place).filter(F.col("_place") <= n_series // 4).select(key, "quartile")
 
 
 def backtest_window(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import series_id, submission_id
 from ..functions.scalars import clip_nonnegative
-from .joins import anti_join_ids, join_forecast, with_fallbacks
+from .joins import join_forecast, with_fallbacks
 
 
 def forecast_keys(requests: DataFrame) -> DataFrame:
@@ -23,18 +23,21 @@ def predict_submission(
 
 
 def prediction_gate(predictions: DataFrame, requests: DataFrame, template: DataFrame) -> DataFrame:
-    """(check, ok, n_bad): the rules a submission must meet, as data."""
+    """(check, ok, n_bad): the rules a submission must meet, as data.
+
+    Predictions and template are each counted by id, map side first, and meet in one full join; a
+    missing id meets nothing.
+    """
     exact = set(predictions.columns) == {"Id", "Weekly_Sales"}
-    values = predictions.agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("Weekly_Sales").isNull() | F.isnan("Weekly_Sales")).alias("nulls"),
-        F.count_if(F.col("Weekly_Sales") < 0).alias("negative"))
-    expected = requests.agg(F.count("*").alias("expected"))
-    missing = anti_join_ids(template, predictions).agg(F.count("*").alias("missing"))
-    extra = anti_join_ids(predictions, template).agg(F.count("*").alias("extra"))
-    one = values
-    for part in (expected, missing, extra):
-        one = one.crossJoin(F.broadcast(part))
+    value = F.col("Weekly_Sales")
+    ours = predictions.groupBy("Id").agg(
+        F.count("*").alias("_n"), F.count_if(value.isNull() | F.isnan(value)).alias("_nulls"), F.count_if(value < 0).alias("_negative"))
+    known = template.groupBy("Id").agg(F.count("*").alias("_t"))
+    one = ours.join(known, "Id", "full").agg(
+        *[F.coalesce(F.sum(f"_{c}"), F.lit(0)).alias(c) for c in ("n", "nulls", "negative")],
+        F.coalesce(F.sum(F.when(F.col("_n").isNull(), F.col("_t"))), F.lit(0)).alias("missing"),
+        F.coalesce(F.sum(F.when(F.col("_t").isNull(), F.col("_n"))), F.lit(0)).alias("extra"))
+    one = one.crossJoin(F.broadcast(requests.agg(F.count("*").alias("expected"))))
     bad = {
         "columns": F.lit(0 if exact else 1), "row_count": F.abs(F.col("n") - F.col("expected")),
         "not_null": F.col("nulls"), "nonnegative": F.col("negative"),

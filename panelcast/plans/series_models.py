@@ -21,11 +21,15 @@ def sweep(long: DataFrame, horizon: int, family: str, configs: Sequence[dict], n
     return grouped.sweep_report(fits, table)
 
 
-def ledger_rows(report: DataFrame, experiment: str) -> DataFrame:
-    """Sweep report as run-ledger rows; a configuration without a validation error is a failed run."""
+def ledger_rows(report: DataFrame, experiment: str, configs: Sequence[dict]) -> DataFrame:
+    """Sweep report as run-ledger rows, ``seq`` the place of the configuration in the sweep.
+
+    A configuration without a validation error is a failed run.
+    """
     run_id = F.substring(F.md5(F.concat_ws("|", F.lit(experiment), "label", "params")), 1, 12)
     status = F.when(F.col("val_wmae").isNull() | F.isnan("val_wmae"), "FAILED").otherwise("FINISHED")
-    return report.withColumns({"experiment": F.lit(experiment), "run_status": status, "run_id": run_id, "seq": run_id})
+    seq = F.array_position(F.array(*[F.lit(c["label"]) for c in configs]), F.col("label")).cast("int") - 1
+    return report.withColumns({"experiment": F.lit(experiment), "run_status": status, "run_id": run_id, "seq": seq})
 
 
 def refit(long: DataFrame, horizon: int, family: str, config: dict) -> DataFrame:
