@@ -102,6 +102,29 @@ def nearest_event_join(spark, sf_dir):
     return _fact(spark, sf_dir).select("unique_id", "Date").withColumns(cal.event_distance("Date", tables.EVENTS))
 
 
+def _gap(to, of, back):
+    a, b = ("e.ts", "p.ts") if back else ("p.ts", "e.ts")
+    return f"""SELECT e.event_id, epoch_us({a}) - epoch_us({b}) AS {to} FROM events e ASOF LEFT JOIN purchases p
+  ON {of}e.ts {'>=' if back else '<='} p.ts"""
+
+
+USER = "e.user_id = p.user_id AND "
+
+
+# Events that no literal list holds: every event to the purchases before and after it, over all users and of its own.
+@query("nearest_event_asof", text("purchases AS (SELECT ts, user_id FROM events WHERE event_type = 'purchase')",
+    f"a AS ({_gap('since', '', True)})", f"b AS ({_gap('until', '', False)})",
+    f"c AS ({_gap('own_since', USER, True)})", f"d AS ({_gap('own_until', USER, False)})", """
+SELECT event_id, since, until, own_since, own_until FROM a JOIN b USING (event_id) JOIN c USING (event_id) JOIN d USING (event_id)"""))
+def nearest_event_asof(spark, sf_dir):
+    events = tables.read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    purchases = events.where("event_type = 'purchase'")
+    overall = joins.nearest_events(events, purchases, "at").withColumnsRenamed({"last_event": "last_any", "next_event": "next_any"})
+    out = joins.nearest_events(overall, purchases, "at", ["user_id"])
+    return out.select("event_id", (F.col("at") - F.col("last_any")).alias("since"), (F.col("next_any") - F.col("at")).alias("until"),
+                      (F.col("at") - F.col("last_event")).alias("own_since"), (F.col("next_event") - F.col("at")).alias("own_until"))
+
+
 GRID = """last AS (SELECT unique_id, MAX(Date) AS last_ds FROM train GROUP BY unique_id),
 grid AS (SELECT unique_id, CAST(unnest(generate_series(last_ds + 7, last_ds + 273, INTERVAL 7 DAY)) AS DATE) AS ds FROM last)"""
 

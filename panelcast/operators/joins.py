@@ -6,11 +6,14 @@ partitions are split by AQE.  ``salted_lookup`` is the explicit form for a known
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import fallback_chain
+from ..sources.staging import write_once
 from .clean import handle_missing, one_hot_type
 
 
@@ -59,6 +62,32 @@ def join_holidays(oof: DataFrame, lookup: DataFrame) -> DataFrame:
     return out.withColumn("IsHoliday", F.coalesce("IsHoliday", F.lit(False)))
 
 
+def nearest_events(rows: DataFrame, events: DataFrame, at: str, by: Sequence[str] = ()) -> DataFrame:
+    """``rows`` with ``last_event`` and ``next_event``: the nearest value of ``at`` among ``events`` on either side, itself included.
+
+    For event tables of any size.  Distinct places of rows and events are sorted together by range;
+    each part carries its events on and back, and the ends of the parts tell what lies beyond its
+    borders, so no row meets more than its own neighbours and a place that holds many rows counts
+    once.  With ``by`` only events with equal keys count.  Missing keys or places find nothing.
+    """
+    keys = [*by, at]
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    marks = rows.select(*keys, F.lit(False).alias("_event")).union(events.select(*keys, F.lit(True))).where(known)
+    marks = marks.groupBy(*keys).agg(F.max("_event").alias("_event"))
+    placed = write_once(marks.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), "marks")
+    hit = F.when(F.col("_event"), F.col(at))
+    own, over = W.partitionBy("_part", *by), W.partitionBy(*(by or [F.lit(0)]))  # without keys: one row a part
+    beyond = (W.unboundedPreceding, -1)
+    ends = placed.groupBy("_part", *by).agg(F.max(hit).alias("_high"), F.min(hit).alias("_low"))
+    ends = ends.select("_part", *by, F.last("_high", ignorenulls=True).over(over.orderBy("_part").rowsBetween(*beyond)).alias("_before"),
+                       F.last("_low", ignorenulls=True).over(over.orderBy(F.desc("_part")).rowsBetween(*beyond)).alias("_after"))
+    carried = placed.withColumns({"_last": F.last(hit, ignorenulls=True).over(own.orderBy(at)),
+                                  "_next": F.last(hit, ignorenulls=True).over(own.orderBy(F.desc(at)))})
+    found = carried.join(ends, ["_part", *by]).select(
+        *keys, F.coalesce("_last", "_before").alias("last_event"), F.coalesce("_next", "_after").alias("next_event"))
+    return rows.join(found, keys, "left")
+
+
 def map_lookup(df: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
     """Attach ``value`` by ``key``; unknown keys stay missing."""
     return df.join(table.select(key, value), key, "left")

@@ -28,7 +28,7 @@ SCHEMAS = {
     "supplier": "s_suppkey bigint, s_nationkey int",
     "customer": "c_custkey bigint, c_nationkey int",
     "nation": "n_nationkey int, n_regionkey int",
-    "events": "event_id bigint, event_type string, value double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
 
 EVENTS: list[dt.date] = [d for _, d in holiday_dates(FIRST_YEAR, LAST_YEAR)]
