@@ -79,7 +79,8 @@ def sample(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rows
 
     near = known.join(counts.withColumn("share", share), "lang").where(
         F.shiftrightunsigned("h", 1).cast("double") <= F.col("share") * float(2 ** 63)).select("lang", "h", cut("text").alias("piece"))
-    once = near.where("piece is not null").groupBy("lang", "h").agg(F.min("piece").alias("piece"))
+    # the condition on pieces stands behind the aggregation, else it would be tested on every row before the draw
+    once = near.groupBy("lang", "h").agg(F.min("piece").alias("piece")).where("piece is not null")
     first = once.withColumn("at", F.row_number().over(W.partitionBy("lang").orderBy("h"))).where(F.col("at") <= rows)
     return first.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("h", "piece"))).alias("pieces")).join(counts, "lang").select(
         "lang", "n", F.col("pieces.piece").alias("pieces"))
