@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..models import grouped
 from ..operators import clean, joins, lags, panel, split
 from ..sources import tables
 from . import registry as r
@@ -202,18 +203,39 @@ def backtest_window(spark, sf_dir):
     return actual.join(forecast, "unique_id")
 
 
+# A lag of 26 weeks reaches past the cutoff from the 27th week of a window on.
 @query("insample_windows", text(r.panel(), """
-first AS (SELECT unique_id, MIN(Date) AS d0 FROM panel GROUP BY unique_id)""", """
-SELECT p.unique_id, p.Date AS ds, CAST(floor((p.Date - d0) / 7 / 39) AS INTEGER) AS "window", p.Weekly_Sales AS y, q.Weekly_Sales AS prediction
-FROM panel p JOIN first USING (unique_id) LEFT JOIN panel q ON q.unique_id = p.unique_id AND q.Date = p.Date - 364"""))
+first AS (SELECT unique_id, MIN(Date) AS d0 FROM panel GROUP BY unique_id),
+cut_rows AS (SELECT p.unique_id, p.Date, Weekly_Sales, CAST(floor((p.Date - d0) / 7 / 39) AS INTEGER) AS w, d0 FROM panel p JOIN first USING (unique_id))""", """
+SELECT p.unique_id, p.Date AS ds, w AS "window", p.Weekly_Sales AS y,
+  CASE WHEN p.Date - 182 < d0 + w * 273 THEN q.Weekly_Sales END AS prediction
+FROM cut_rows p LEFT JOIN panel q ON q.unique_id = p.unique_id AND q.Date = p.Date - 182"""))
 def insample_windows(spark, sf_dir):
-    lagged = lags.calendar_lags(_fact(spark, sf_dir))
-    long = lagged.select("unique_id", F.col("Date").alias("ds"), F.col("Weekly_Sales").alias("y"), F.col("lag_52").alias("prediction"))
+    lagged = lags.calendar_lags(_fact(spark, sf_dir), weeks=26)
+    long = lagged.select("unique_id", F.col("Date").alias("ds"), F.col("Weekly_Sales").alias("y"), F.col("lag_26").alias("prediction"))
     out = split.insample_windows(long, tables.HORIZON)
-    seen = F.date_sub("ds", 364) < F.col("cutoff")
+    seen = F.date_sub("ds", 182) < F.col("cutoff")
     return out.select("unique_id", "ds", "window", "y", F.when(seen, F.col("prediction")).alias("prediction"))
 
 
+@query("rolling_origin", text(r.panel(), """
+first AS (SELECT unique_id, MIN(Date) AS d0, MAX(Date) AS d1 FROM panel GROUP BY unique_id),
+given AS (SELECT unique_id, Date, Weekly_Sales AS y, (Date - d0) / 7 AS x, lag(Date) OVER w AS d, lag(Weekly_Sales) OVER w AS b
+  FROM panel JOIN first USING (unique_id) WINDOW w AS (PARTITION BY unique_id ORDER BY Date)),
+cuts AS (SELECT unique_id, d0, CAST(unnest(generate_series(d0 + 273, d1, INTERVAL 273 DAY)) AS DATE) AS cutoff FROM first),
+sums AS (SELECT c.unique_id, cutoff, d0, COUNT(*) AS n, SUM(x) AS sx, SUM(y) AS sy, SUM(x * x) AS sxx, SUM(x * y) AS sxy,
+  SUM(CASE WHEN Date - d = 7 THEN b * y END) / SUM(CASE WHEN Date - d = 7 THEN b * b END) AS phi, MAX(Date) AS last_d, arg_max(y, Date) AS last_y
+  FROM cuts c JOIN given g ON g.unique_id = c.unique_id AND g.Date < cutoff GROUP BY c.unique_id, cutoff, d0 HAVING COUNT(*) >= 52),
+lines AS (SELECT *, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope FROM sums)""", """
+SELECT label, l.unique_id, cutoff, g.Date AS ds, g.y,
+  round(CASE label WHEN 'trend' THEN (sy - slope * sx) / n + slope * g.x ELSE last_y * pow(phi, (g.Date - last_d) / 7) END, 2) AS prediction
+FROM lines l JOIN given g ON g.unique_id = l.unique_id AND g.Date >= cutoff AND g.Date < cutoff + 273 CROSS JOIN (VALUES ('trend'), ('ar1')) AS m(label)"""))
+def rolling_origin(spark, sf_dir):
+    """Every series forecast from cutoffs 39 weeks apart, each fit from what lies before its cutoff."""
+    out = grouped.rolling_origin(panel.to_long(_fact(spark, sf_dir)), tables.HORIZON, tables.HORIZON)
+    return out.withColumn("prediction", F.round("prediction", 2))
+
+
 @query("predict_submission", text(r.panel(), r.CUT, r.FALLBACKS, SEASONAL))
 def predict_submission(spark, sf_dir):
     return seasonal_submission(spark, sf_dir)

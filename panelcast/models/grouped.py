@@ -188,6 +188,49 @@ def sweep_fit(
     return null_missing(pack_series(long, cutoff).mapInPandas(run, FITTED))
 
 
+def _origins(row, step: int, horizon: int, min_train: int) -> Iterator[dict[str, np.ndarray]]:
+    """Forecasts of one packed series from every cutoff, the sums of a prefix being those at its end."""
+    days, y, _ = arrays(row, "train")
+    week = ((days - days[0]) / 7).astype(int)
+    seen = np.isfinite(y)
+    value = np.full(week[-1] + 1, np.nan)
+    value[week[seen]] = y[seen]
+    x, known = np.arange(len(value), dtype=float), np.isfinite(value)
+    v = np.where(known, value, 0.0)
+    pair = np.r_[False, known[1:] & known[:-1]]
+    before = np.r_[0.0, v[:-1]]
+    sums = {k: np.cumsum(a) for k, a in (("n", known * 1.0), ("x", x * known), ("y", v), ("xx", x * x * known), ("xy", x * v),
+                                         ("vv", before * v * pair), ("bb", before * before * pair))}
+    last = np.maximum.accumulate(np.where(known, np.arange(len(value)), -1))
+    for cutoff in range(step, len(value), step):
+        n, sx, sy, sxx, sxy, vv, bb = (float(sums[k][cutoff - 1]) for k in ("n", "x", "y", "xx", "xy", "vv", "bb"))
+        ahead = np.flatnonzero((week >= cutoff) & (week < cutoff + horizon))
+        if n < min_train or not len(ahead):
+            continue
+        at, end = week[ahead], last[cutoff - 1]
+        spread = n * sxx - sx * sx
+        slope = (n * sxy - sx * sy) / spread if spread else 0.0
+        values = {"trend": (sy - slope * sx) / n + slope * at, "ar1": v[end] * (vv / bb if bb else 0.0) ** (at - end)}
+        for label, prediction in values.items():
+            yield {"label": np.full(len(at), label, object), "unique_id": np.full(len(at), row.unique_id, object),
+                   "cutoff": np.full(len(at), days[0] + 7 * cutoff), "ds": days[ahead], "y": y[ahead], "prediction": prediction}
+
+
+def rolling_origin(long: DataFrame, step: int, horizon: int, min_train: int = MIN_TRAIN) -> DataFrame:
+    """(label, unique_id, cutoff, ds, y, prediction): every series forecast from cutoffs ``step`` weeks apart.
+
+    A straight line and a first-order autoregression are fitted to what lies before each cutoff, from
+    sums that grow along the series, so all cutoffs cost one walk over a packed row.  Only known weeks
+    count and no gap is filled, since a filled gap would see what comes after it; the autoregression
+    uses neighbouring known weeks.  Prefixes with fewer than ``min_train`` known weeks give no rows.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for out in frames(part for batch in batches for row in batch.itertuples(index=False) for part in _origins(row, step, horizon, min_train)):
+            yield out.assign(cutoff=pd.to_datetime(out["cutoff"], unit="D"))
+
+    return null_missing(pack_series(long).mapInPandas(run, "label string, unique_id string, cutoff date, ds date, y double, prediction double"))
+
+
 def css_profile(long: DataFrame, config: dict, coefs: list[list[float]]) -> DataFrame:
     """(unique_id, coefs, n, rmse): size of the one-step errors of every series at each of the given coefficients.
 

@@ -226,3 +226,25 @@ def test_trees_with_missing_and_infinite_values(spark):
     assert scored.agg(F.avg(F.abs(F.col("prediction") - F.col("Weekly_Sales")))).first()[0] < 40
     unseen = gbt.score_categorical(model, df.limit(1).withColumn("Store", F.lit(99)))
     assert unseen.count() == 1
+
+
+def test_rolling_origin_looks_at_nothing_behind_a_cutoff(spark):
+    rng = np.random.default_rng(9)
+    level = np.cumsum(rng.normal(size=140)) + 20
+    rows = [("1_1", friday(i), float(level[i])) for i in range(140) if i not in (30, 31, 77)] + [("2_1", friday(i), 1.0) for i in range(20)]
+    one = grouped.rolling_origin(spark.createDataFrame(rows, LONG), 13, 13, 40).collect()
+    broken = [(k, d, y if d < friday(91) else -1e6) for k, d, y in rows]
+    two = grouped.rolling_origin(spark.createDataFrame(broken, LONG), 13, 13, 40).collect()
+
+    def at(got):
+        return {(r.label, r.cutoff, r.ds): r.prediction for r in got if r.cutoff <= friday(91)}
+    assert at(one) == at(two) and {r.unique_id for r in one} == {"1_1"}
+    assert {r.cutoff for r in one} == {friday(i) for i in range(52, 140, 13)}
+    weeks = np.array([i for i in range(78) if i not in (30, 31, 77)])
+    slope, base = np.polyfit(weeks, level[weeks], 1)
+    pairs = [(level[i - 1], level[i]) for i in weeks if i - 1 in weeks]
+    phi = sum(a * b for a, b in pairs) / sum(a * a for a, _ in pairs)
+    for r in one:
+        if r.cutoff == friday(78):
+            i = (r.ds - friday(0)).days // 7
+            assert r.prediction == pytest.approx(base + slope * i if r.label == "trend" else level[76] * phi ** (i - 76), rel=1e-9)
