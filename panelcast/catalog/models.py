@@ -8,11 +8,10 @@ from ..models import baselines, gbt, grids, grouped, linear
 from ..operators import clean, joins, lags, metrics, panel, split
 from ..operators.ledger import best_run
 from ..plans import global_model, inference, series_models
-from ..sources import files, staging, tables
+from ..sources import files, model_store, staging, tables
 from . import registry as r
 from .panels import COMPLETE, complete_ids, feature_ctes, merged
-from .registry import query, text
-from .windows import KNOWN
+from .registry import KNOWN, query, text
 
 SMALL_TREES = {"label": "small", "regime": "sanity", "n_estimators": 5, "max_depth": 4, "learning_rate": 0.3,
                "subsample": 1.0, "colsample_bytree": 1.0}
@@ -424,12 +423,14 @@ def run_inference(spark, sf_dir):
     train, valid = split.time_split(_fact(spark, sf_dir), tables.HORIZON)
     long = staging.write_once(panel.to_long(train), "long")
     families, store, ledgers = {"Additive": grids.additive(), "ARIMA": grids.arima()}, staging.new_path(spark, "models"), []
+    known = baselines.fallbacks(long)
     for family, configs in families.items():
         report = series_models.sweep(long, tables.HORIZON, family, configs, 250)
         ledgers.append(staging.write_once(series_models.ledger_rows(report, family, configs), "ledger"))
         winner = best_run(ledgers[-1]).first()
         if winner is not None:
-            files.write_models(grouped.final_refit(long, family, grids.pick(configs, winner.label)[0]), f"{store}/{family}")
+            config = grids.pick(configs, winner.label)[0]
+            model_store.publish(grouped.final_refit(long, family, config), f"{store}/{family}", family, config, *known)
     ids, path = staging.new_path(spark, "template"), staging.new_path(spark, "submission")
     valid.select(submission_id().alias("Id"), F.lit(0.0).alias("Weekly_Sales")).write.option("header", True).csv(ids)
     inference.serve_best(ledgers[0].unionByName(ledgers[1]), families, {f: f"{store}/{f}" for f in families}, long,

@@ -117,6 +117,17 @@ spine AS (
         FROM weeks LEFT JOIN {source} AS s ON s.unique_id = weeks.unique_id AND s.Date = weeks.Date) AS dense
   WINDOW w AS (PARTITION BY unique_id ORDER BY Date ROWS BETWEEN 25 PRECEDING AND CURRENT ROW))"""
 
+# filled(unique_id, Date, y): the spine with gaps on a straight line.
+KNOWN = """known AS (SELECT unique_id, Date, y, y0, y1, Date - d0 AS off, d1 - d0 AS span FROM (
+  SELECT unique_id, Date, y,
+    last_value(y IGNORE NULLS) OVER p AS y0, last_value(CASE WHEN y IS NOT NULL THEN Date END IGNORE NULLS) OVER p AS d0,
+    first_value(y IGNORE NULLS) OVER f AS y1, first_value(CASE WHEN y IS NOT NULL THEN Date END IGNORE NULLS) OVER f AS d1
+  FROM spine
+  WINDOW p AS (PARTITION BY unique_id ORDER BY Date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         f AS (PARTITION BY unique_id ORDER BY Date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))),
+filled AS (
+  SELECT unique_id, Date, coalesce(y, y0 + (y1 - y0) * (CAST(off AS DOUBLE) / CAST(span AS DOUBLE))) AS y FROM known)"""
+
 
 def text(*parts: str) -> str:
     """WITH the given CTEs, then the final select."""

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.ids import submission_id
-from ..models import baselines
-from ..operators import ledger, split, submit
-from ..sources import files, staging, tables
+from ..models import baselines, grouped
+from ..operators import ledger, panel, split, submit
+from ..sources import files, model_store, staging, tables
 from . import registry as r
 from .registry import query, text
 
@@ -169,39 +169,52 @@ def scan_run_ledger(spark, sf_dir):
     return shown(ledger.best_run(files.read_run_results(spark, path)), "run_id")
 
 
-def drift_models(train):
-    """Closed-form model per series: last value and mean weekly step; short series fail."""
-    first, last = F.min_by("Weekly_Sales", "Date"), F.max_by("Weekly_Sales", "Date")
-    stats = train.groupBy("unique_id").agg(first.alias("y0"), last.alias("y1"), F.count("*").alias("n"))
-    coefs = F.array(F.col("y1"), (F.col("y1") - F.col("y0")) / F.nullif(F.col("n") - 1, F.lit(0)))
-    ok = F.col("n") >= 200
-    return stats.select(F.lit("drift").alias("label"), "unique_id", F.when(ok, coefs).alias("coefs"),
-                        F.when(ok, "fitted").otherwise("failed").alias("status"))
+# A model of one coefficient, last year's week times a factor: closed form, and out of reach of short series.
+MEMORY = {"label": "seasonal_memory", "regime": "plain", "order": [0, 0, 0], "seasonal_order": [1, 0, 0, 52], "trend": "n"}
 
 
-DRIFT = """models AS (
-  SELECT unique_id, arg_min(Weekly_Sales, Date) AS y0, arg_max(Weekly_Sales, Date) AS y1, COUNT(*) AS n,
-         n >= 200 AS ok, (y1 - y0) / NULLIF(n - 1, 0) AS step FROM train GROUP BY unique_id)"""
+def published(spark, sf_dir):
+    """(train, valid, root of a store with one published version)."""
+    train, valid = split.time_split(tables.staged_fact(spark, sf_dir), tables.HORIZON)
+    long = staging.write_once(panel.to_long(train), "long")
+    root = staging.new_path(spark, "store")
+    model_store.publish(grouped.final_refit(long, "SARIMA", MEMORY), root, "SARIMA", MEMORY, *baselines.fallbacks(long))
+    return long, valid, root
 
 
-@query("model_artifact_store", text(r.panel(), r.CUT, DRIFT, """
-SELECT 'drift' AS label, unique_id, CASE WHEN ok THEN y1 END AS last_y, CASE WHEN ok THEN step END AS step,
-       CASE WHEN ok THEN 'fitted' ELSE 'failed' END AS status FROM models"""))
-def model_artifact_store(spark, sf_dir):
-    train, _ = split.time_split(tables.staged_fact(spark, sf_dir), tables.HORIZON)
-    path = staging.new_path(spark, "models")
-    files.write_models(drift_models(train), path)
-    stored = spark.read.parquet(path)
-    return stored.select("label", "unique_id", F.col("coefs")[0].alias("last_y"), F.col("coefs")[1].alias("step"), "status")
+STORED = [r.panel(), r.CUT, r.FALLBACKS, r.SPINE.format(source="train"), r.KNOWN, """
+years AS (SELECT unique_id, y, lag(y, 52) OVER (PARTITION BY unique_id ORDER BY Date) AS x FROM filled),
+models AS (SELECT unique_id, COUNT(*) >= 61 AS ok, least(greatest(SUM(x * y) / SUM(x * x), -tanh(4)), tanh(4)) AS factor FROM years GROUP BY unique_id)"""]
 
 
-@query("model_artifact_load", text(r.panel(), r.CUT, DRIFT, """
-SELECT v.unique_id, CASE WHEN ok THEN y1 + step END AS next_week, coalesce(ok, FALSE) AS loaded
-FROM (SELECT DISTINCT unique_id FROM valid) v LEFT JOIN models m ON m.unique_id = v.unique_id"""))
+@query("model_artifact_store", text(*STORED, """
+SELECT 'SARIMA' AS family, 'seasonal_memory' AS label, '{"order": [0, 0, 0], "seasonal_order": [1, 0, 0, 52], "trend": "n"}' AS params,
+  unique_id, CASE WHEN ok THEN round(factor, 9) END AS factor, CASE WHEN ok THEN 'fitted' ELSE 'failed' END AS status, last_y, median_y,
+  (SELECT COUNT(*) FROM models WHERE ok) AS n_fitted, (SELECT COUNT(*) FROM models WHERE NOT ok) AS n_failed
+FROM models JOIN by_id USING (unique_id) CROSS JOIN overall"""))
+def model_artifact_store(spark, sf_dir):
+    """Every row of the live version with what its manifest says."""
+    _, _, root = published(spark, sf_dir)
+    row, models = model_store.live(spark, root)
+    named = [F.lit(row[c]).cast(k).alias(c) for k, names in (("string", ("family", "label", "params")), ("double", ("median_y",)), ("bigint", ("n_fitted", "n_failed")))
+             for c in names]
+    return models.select(*named, "unique_id", F.round(F.col("coefs")[0], 9).alias("factor"), "status", "last_y")
+
+
+@query("model_artifact_load", text(*STORED, """
+past AS (SELECT unique_id, Date, y FROM filled),
+ends AS (SELECT unique_id, MAX(Date) AS last_d FROM filled GROUP BY unique_id)""", """
+SELECT v.unique_id, coalesce(ok, FALSE) AS loaded,
+  round(CASE WHEN ok THEN factor * p.y ELSE coalesce(last_y, median_y) END, 2) AS next_week
+FROM (SELECT DISTINCT unique_id FROM valid) v CROSS JOIN overall LEFT JOIN models m ON m.unique_id = v.unique_id LEFT JOIN by_id b ON b.unique_id = v.unique_id
+     LEFT JOIN ends e ON e.unique_id = v.unique_id LEFT JOIN past p ON p.unique_id = v.unique_id AND p.Date = e.last_d - 357"""))
 def model_artifact_load(spark, sf_dir):
-    train, valid = split.time_split(tables.staged_fact(spark, sf_dir), tables.HORIZON)
-    path = staging.new_path(spark, "models")
-    files.write_models(drift_models(train), path)
-    loaded = files.load_models(spark, path, "drift", valid.select("unique_id").distinct())
-    return loaded.select("unique_id", (F.col("coefs")[0] + F.col("coefs")[1]).alias("next_week"),
-                         F.col("coefs").isNotNull().alias("loaded"))
+    """Next week of every requested series from the live version, or its fallback; a later version without its parts is passed over."""
+    long, valid, root = published(spark, sf_dir)
+    row = model_store.manifests(spark, root)[0]
+    newer = row.asDict() | {"run_id": "lost", "published": row.published + 1}
+    spark.createDataFrame([tuple(newer.values())], model_store.MANIFEST).write.mode("append").parquet(f"{root}/manifest")
+    models = model_store.load(model_store.live(spark, root), valid.select("unique_id").distinct())
+    ahead = grouped.forecast_models(models.where("loaded"), long, "SARIMA", MEMORY, 1).select("unique_id", "prediction")
+    out = models.join(ahead, "unique_id", "left")
+    return out.select("unique_id", "loaded", F.round(F.coalesce("prediction", "fallback"), 2).alias("next_week"))

@@ -87,18 +87,7 @@ def tail_n_per_group(spark, sf_dir):
     return panel.tail_n(_fact(spark, sf_dir).select("unique_id", "Date", "Weekly_Sales"), 52, ["unique_id"])
 
 
-KNOWN = """known AS (SELECT unique_id, Date, y, y0, y1, Date - d0 AS off, d1 - d0 AS span FROM (
-  SELECT unique_id, Date, y,
-    last_value(y IGNORE NULLS) OVER p AS y0, last_value(CASE WHEN y IS NOT NULL THEN Date END IGNORE NULLS) OVER p AS d0,
-    first_value(y IGNORE NULLS) OVER f AS y1, first_value(CASE WHEN y IS NOT NULL THEN Date END IGNORE NULLS) OVER f AS d1
-  FROM spine
-  WINDOW p AS (PARTITION BY unique_id ORDER BY Date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-         f AS (PARTITION BY unique_id ORDER BY Date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))),
-filled AS (
-  SELECT unique_id, Date, coalesce(y, y0 + (y1 - y0) * (CAST(off AS DOUBLE) / CAST(span AS DOUBLE))) AS y FROM known)"""
-
-
-@query("interpolate_linear", text(r.panel(), r.SPINE.format(source="panel"), KNOWN, "SELECT unique_id, Date AS ds, y FROM filled"))
+@query("interpolate_linear", text(r.panel(), r.SPINE.format(source="panel"), r.KNOWN, "SELECT unique_id, Date AS ds, y FROM filled"))
 def interpolate_linear(spark, sf_dir):
     return panel.interpolate_linear(panel.weekly_spine(panel.to_long(_fact(spark, sf_dir))))
 

@@ -11,7 +11,7 @@ from ..models import baselines, grouped
 from ..operators import ledger as runs
 from ..operators import submit
 from ..operators.joins import restore_order
-from ..sources import files
+from ..sources import files, model_store
 from ..sources.staging import write_once
 
 
@@ -25,9 +25,16 @@ def candidates(ledger: DataFrame, documented: dict[str, float] | None = None) ->
 
 
 def stored_labels(spark: SparkSession, stores: Mapping[str, str]) -> DataFrame:
-    """(experiment, label) of every stored label with a fitted series; a store that cannot be read has none."""
+    """(experiment, label) of every stored label with a fitted series; a store that cannot be read has none.
+
+    A store with a manifest counts by its live versions, another by its rows.
+    """
     out = spark.createDataFrame([], "experiment string, label string")
     for experiment, path in stores.items():
+        if model_store.manifests(spark, path):
+            labels = [(experiment, k) for k in model_store.live_labels(spark, path)]
+            out = out.union(spark.createDataFrame(labels, out.schema))
+            continue
         try:
             fitted = spark.read.schema(schemas.MODEL_STORE).parquet(path).filter("status = 'fitted'")
         except AnalysisException:
@@ -58,7 +65,8 @@ def serve_best(
     forecast = spark.createDataFrame([], grouped.FORECAST)
     if run is not None:
         config = next(c for c in families[run.experiment] if c["label"] == run.label)
-        models = files.load_models(spark, stores[run.experiment], run.label, long.select("unique_id").distinct())
+        ids, version = long.select("unique_id").distinct(), model_store.live(spark, stores[run.experiment], run.label)
+        models = model_store.load(version, ids) if version else files.load_models(spark, stores[run.experiment], run.label, ids)
         forecast = grouped.forecast_models(models, long, run.experiment, config, horizon)
     checked_submission(requests, template, forecast, *baselines.fallbacks(long), path)
     return run
