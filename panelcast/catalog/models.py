@@ -227,6 +227,41 @@ def basis_expansion(spark, sf_dir):
     return _held_out(_sweep(spark, sf_dir, "Basis", grids.basis()))
 
 
+# Without harmonics the basis model is a straight line with a small ridge on its slope.
+LINES = [{"label": f"line_{n}", "regime": "plain", "input_size": n, "n_harmonics": 0, "n_polynomials": 1} for n in (52, 104)]
+LINE = [r.panel("dense"), r.CUT, """
+ranked AS (SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY Date DESC) AS back, COUNT(*) OVER (PARTITION BY unique_id) AS n_train FROM train),
+inputs AS (SELECT size, ranked.*, CAST(Date - DATE '1970-01-01' AS DOUBLE) AS d FROM ranked, (VALUES (52), (104)) AS c(size) WHERE back <= size),
+spans AS (SELECT size, unique_id, MIN(d) AS a, greatest(MAX(d) - MIN(d), 7) AS span, COUNT(*) AS n, MAX(n_train) AS n_train,
+  arg_max(Weekly_Sales, Date) AS last_y FROM inputs GROUP BY size, unique_id),
+means AS (SELECT i.size, i.unique_id, AVG((d - a) / span) AS tm, AVG(Weekly_Sales) AS ym FROM inputs i JOIN spans s ON s.size = i.size AND s.unique_id = i.unique_id GROUP BY ALL),
+lines AS (SELECT i.size, i.unique_id, any_value(a) AS a, any_value(span) AS span, any_value(tm) AS tm, any_value(ym) AS ym, any_value(last_y) AS last_y,
+  any_value(s.n_train) AS n_train, SUM(((d - a) / span - tm) * (Weekly_Sales - ym)) / (SUM(((d - a) / span - tm) * ((d - a) / span - tm)) + 0.0001 * any_value(n)) AS slope
+  FROM inputs i JOIN spans s ON s.size = i.size AND s.unique_id = i.unique_id JOIN means m ON m.size = i.size AND m.unique_id = i.unique_id GROUP BY i.size, i.unique_id),
+scored AS (SELECT 'line_' || size AS label, v.unique_id, v.Date AS ds, v.IsHoliday, Weekly_Sales AS y, v.Date < cutoff AS is_train, n_train < 52 AS used_fallback,
+  CASE WHEN n_train >= 52 THEN ym + slope * ((CAST(v.Date - DATE '1970-01-01' AS DOUBLE) - a) / span - tm) WHEN v.Date >= cutoff THEN last_y END AS prediction,
+  row_number() OVER (PARTITION BY size, v.unique_id ORDER BY v.Date >= cutoff, v.Date DESC) AS back, size
+  FROM panel v CROSS JOIN cut JOIN lines l ON l.unique_id = v.unique_id)"""]
+
+
+@query("basis_line", text(*LINE, "SELECT label, unique_id, ds, y, round(prediction, 2) AS prediction, used_fallback FROM scored WHERE NOT is_train"))
+def basis_line(spark, sf_dir):
+    """The basis model of a straight line over one and two years; short series repeat their last value."""
+    return _held_out(_sweep(spark, sf_dir, "Basis", LINES)).withColumn("prediction", F.round("prediction", 2))
+
+
+@query("sweep_line", text(*LINE, """
+SELECT label, round(SUM(CASE WHEN is_train AND back <= size AND NOT used_fallback THEN w * abs(y - prediction) END)
+    / SUM(CASE WHEN is_train AND back <= size AND NOT used_fallback THEN w END), 2) AS train_wmae,
+  round(SUM(CASE WHEN NOT is_train THEN w * abs(y - prediction) END) / SUM(CASE WHEN NOT is_train THEN w END), 2) AS val_wmae,
+  COUNT(DISTINCT CASE WHEN used_fallback AND NOT is_train THEN unique_id END) AS fallback_series
+FROM (SELECT *, CASE WHEN IsHoliday THEN 5 ELSE 1 END AS w FROM scored) AS s GROUP BY label"""))
+def sweep_line(spark, sf_dir):
+    """Ledger rows of the same two configurations: fitted weeks, held-out weeks and series on their fallback."""
+    report = grouped.sweep_report(_sweep(spark, sf_dir, "Basis", LINES), grids.config_table(spark, LINES))
+    return report.select("label", F.round("train_wmae", 2).alias("train_wmae"), F.round("val_wmae", 2).alias("val_wmae"), "fallback_series")
+
+
 @query("sweep_fit")
 def sweep_fit(spark, sf_dir):
     """All additive configurations on every series of the dense panel -> ledger rows."""
