@@ -138,14 +138,14 @@ def apply_chain(chain: list[dict], rows: Rows) -> np.ndarray:
     return extra
 
 
-def fit_sample(marked: DataFrame, known: DataFrame, targets: list[str], fit_rows: int) -> DataFrame:
-    """The first ``fit_rows`` labelled rows in the order of a hash of the id, without their words.
+def fit_sample(marked: DataFrame, known: DataFrame, targets: list[str], fit_rows: int, content: str = "ids") -> DataFrame:
+    """The first ``fit_rows`` labelled rows in the order of a hash of the id, without their ``content``.
 
     Only ids travel to the labels, by one join plan at every size.  Counts over the leading 16 bits
     of the hash tell how far the order has to be looked at, so the task that takes the first rows
     meets little more than those.
     """
-    narrow = marked.select("doc_id", "row", F.xxhash64("ids").alias("same"))
+    narrow = marked.select("doc_id", "row", F.xxhash64(content).alias("same"))
     labelled = write_once(narrow.join(known.hint("merge"), "doc_id").withColumn("draw", F.xxhash64("doc_id")), "labelled")
     top = F.shiftright("draw", 48)
     upto = (labelled.groupBy(top.alias("top")).agg(F.count(F.lit(1)).alias("n"))

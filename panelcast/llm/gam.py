@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import write_once
+from .chains import fit_sample
 from .rules import text_stats
 from .words import words
 
@@ -165,11 +166,16 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-f))
 
 
-def train(rows: DataFrame, label: str, fit_rows: int = FIT_ROWS, id_col: str = "doc_id") -> dict:
-    """Model from ``rows`` with ``features`` and a label; at most ``fit_rows`` of them, by a hash of the id."""
+def train(marked: DataFrame, known: DataFrame, label: str, fit_rows: int = FIT_ROWS) -> dict:
+    """Model from ``marked`` (doc_id, row, features) and ``known`` (doc_id, label); at most ``fit_rows`` rows, by a hash of the id.
+
+    Only ids travel to the labels; the features of the rows drawn are read by row.
+    """
+    picked = fit_sample(marked, known, [label], fit_rows, "features")
+    # at most fit_rows rows of numbers
+    fitted = write_once(marked.select("row", "features").join(F.broadcast(picked.drop("doc_id")), "row"), "fit_rows")
     x, y = [], []
-    for r in (rows.where(F.col(label).isin(0, 1)).orderBy(F.xxhash64(id_col), id_col, label).limit(fit_rows)
-              .select("features", F.col(label).alias("y")).collect()):
+    for r in fitted.orderBy("draw", label, "same").select("features", F.col(label).alias("y")).toLocalIterator():
         x.append(r.features)
         y.append(r.y)
     return fit(np.array(x, float).reshape(len(x), len(FEATURES)), np.array(y, float))
@@ -184,11 +190,12 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", learn_f
     document labelled both ways teaches both.  Without labels every score is one half.  Missing
     texts are empty, which is a row of zeros.  Features are computed once and written.
     """
-    marked = write_once(docs.select(F.col(id_col).alias("doc_id"), features_column(F.col(text_col)).alias("features")), "features")
+    marked = write_once(docs.select(F.col(id_col).alias("doc_id"), features_column(F.col(text_col)).alias("features"),
+                                    F.monotonically_increasing_id().alias("row")), "features")
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label).alias("__label")).where(F.col("__label").isin(0, 1))
     if learn_from is not None:
         known = known.where(learn_from)
-    model = train(marked.join(known, "doc_id"), "__label", fit_rows)
+    model = train(marked, known, "__label", fit_rows)
 
     @F.pandas_udf("double")
     def score(col: pd.Series) -> pd.Series:
