@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import write_once
 from .blobs import chunk_bits, chunks, gather
-from .words import WordHash, bounds, sliding, window_hashes, words
+from .words import WordHash, bounds, mix, sliding, window_hashes, words
 
 #: Words that one step of a task holds as arrays; more wait for the next step.
 STEP_WORDS = 300_000
@@ -138,6 +138,11 @@ def _level_two(window: int, half: int, bits: int):
     return run
 
 
+def bucket_of(d: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each document, by a hash of its number, so that numbers with a stride spread, too."""
+    return (mix(d.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _compare(buckets: int):
     """Windows that a smaller document holds, by bucket of documents; rows come in the order of chunks."""
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +151,7 @@ def _compare(buckets: int):
         order, later = _dominated(h, k, gather(asked["d"], np.int64))
         hit = order[later]
         d, t, p = (np.r_[gather(asked[c], kind)[hit], gather(known[c], kind)] for c, kind in ROW.items())
-        bucket = d % buckets
+        bucket = bucket_of(d, buckets)
         order = np.lexsort((p, t, d, bucket))
         d, t, p, bucket = d[order], t[order], p[order], bucket[order]
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(d) else []

@@ -122,3 +122,9 @@ def test_repeated_windows_equal_brute_force(request, table, window, monkeypatch)
     plain = substrings.without_repeats(docs, window, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(map(tuple, plain), key=str) == want
     assert sum(x[2] for x in want) > 0
+
+
+@pytest.mark.parametrize("stride", [1, 16, 4096, -4096])
+def test_documents_with_a_stride_spread_over_buckets(stride):
+    bucket = substrings.bucket_of(np.arange(20_000) * stride, 2048)
+    assert len(np.unique(bucket)) > 2040 and np.bincount(bucket).max() < 40
