@@ -36,6 +36,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def unmix(x: np.ndarray) -> np.ndarray:
+    """The integers that ``mix`` scrambled."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(pow(int(M1), -1, 2**64))
+    x = (x ^ (x >> np.uint64(29)) ^ (x >> np.uint64(58))) * np.uint64(pow(int(M2), -1, 2**64))
+    return x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+
+
 def join_hash(left: np.ndarray, right: np.ndarray, salt: int = 0) -> np.ndarray:
     """Hash of a sequence from the hashes of its two parts; the order of the parts matters."""
     return mix(left * M1 + mix(right + np.uint64(salt)) * M2)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from llm.conftest import SF, clashing
 from llm.test_simhash_substrings import split
 from panelcast.llm import bloom_lm, cdc, chains, gam, queries
+from panelcast.llm.words import mix, unmix
 
 
 def lower(text):
@@ -52,12 +53,76 @@ def test_filter_levels_are_one_sided():
     rng = np.random.default_rng(1)
     h, c = rng.integers(0, 2**63, 20_000).astype(np.uint64), rng.zipf(1.6, 20_000).clip(1, 10**6)
     raw, size = bloom_lm.build_filter(h, c)
-    f = bloom_lm.Filter((1, np.array([size, size], np.uint64), np.zeros(2, np.uint64), np.frombuffer(raw, np.uint8)))
+    packed = bloom_lm.Packed(1, 2, 2 * size)
+    for k in (0, 1):
+        packed.add(k, raw, size, bloom_lm.PROBES, b"")
+    f = bloom_lm.Filter(packed.arrays())
     level = f.level(h)
     assert (level >= bloom_lm.quantise(c)).all() and (level == bloom_lm.quantise(c)).mean() > 0.95
     assert (f.level(rng.integers(0, 2**63, 20_000).astype(np.uint64)) > 0).mean() < 0.04
 
 
+def next_words(model, contexts):
+    """Sum of P(word | context) over the vocabulary and one unknown word, for each context."""
+    parts = [b.value for _, _, b in model.slices]
+    vocabulary = np.concatenate([h for _, h, *_ in parts])
+    low, room = 0.5, model.n + 0.5 * (model.types + 1)
+    singles, keys, sums = model.words.value
+    p = (bloom_lm.Filter(singles).count(vocabulary) + low) / room
+    assert math.isclose(p.sum() + low / room, 1, rel_tol=1e-9)
+    out = []
+    for c in contexts:
+        h = bloom_lm.pair_hash(np.full(len(vocabulary), np.uint64(c) << np.uint64(64 - bloom_lm.CONTEXT_BITS)), vocabulary)
+        chunk = (h >> np.uint64(64 - model.bits)).astype(np.int64)
+        count = sum(np.where((chunk >= lo) & (chunk < hi), bloom_lm.Filter(part[0]).count(h), 0.0) for (lo, hi, _), part in zip(model.slices, parts))
+        held = bloom_lm._found(keys, sums, np.array([c], np.uint32))[0]
+        out.append((count.sum() + model.prior * (p.sum() + low / room)) / (held + model.prior + bloom_lm.SLACK))
+    return out
+
+
+@pytest.mark.parametrize("scale, slice_mb", [("0.001", 256), ("0.01", 256), ("0.01", 0)])
+def test_probabilities_of_the_next_word_sum_to_one(spark, scale, slice_mb):
+    docs = queries.documents(spark, SF.replace("0.001", scale))
+    model = bloom_lm.learn(docs, slice_mb=slice_mb)
+    _, keys, held = model.words.value
+    order, rng = np.argsort(held), np.random.default_rng(1)
+    chosen = [*order[-8:], *rng.choice(order[:len(order) // 2], 12), *rng.choice(order[len(order) // 2:], 12)]
+    for total in next_words(model, [*keys[chosen], 12345]):
+        assert 0.98 <= total <= 1.0 + 1e-7
+
+
+def test_scrambling_can_be_undone():
+    x = np.random.default_rng(0).integers(0, 2**64, 10_000, dtype=np.uint64)
+    assert (unmix(mix(x)) == x).all() and (mix(unmix(x)) == x).all()
+    before, word = x[:5000], x[5000:]
+    assert (bloom_lm.context_of(bloom_lm.pair_hash(before, word)) == before >> np.uint64(40)).all()
+
+
+def test_scores_follow_exact_counts_and_beat_the_base(spark):
+    docs = queries.documents(spark, SF.replace("0.001", "0.01")).withColumn("held_out", queries.fold() == 1)
+    rows = docs.collect()
+    texts = {r.doc_id: [*split(lower(r.text)), None] for r in rows}
+    single, pair, context = Counter(), Counter(), Counter()
+    for r in rows:
+        if not r.held_out:
+            w = texts[r.doc_id]
+            single.update(w)
+            pair.update(zip([None, *w], w))
+            context.update([None, *w[:-1]])
+    n, v, prior = sum(single.values()), len(single), 200.0
+    model = bloom_lm.learn(docs.where("not held_out"), prior=prior)
+    got = bloom_lm.score(docs, model, ["doc_id", "held_out"]).collect()
+    error, mine, base, tokens = 0.0, 0.0, 0.0, 0
+    for r in got:
+        w = texts[r.doc_id]
+        want = sum(math.log10((pair[a, b] + prior * (single[b] + 0.5) / (n + 0.5 * (v + 1))) / (context[a] + prior + bloom_lm.SLACK))
+                   for a, b in zip([None, *w], w))
+        error = max(error, abs(r.score - want) / len(w))
+        if r.held_out:
+            mine, base, tokens = mine + r.score, base + r.base_score, tokens + r.n_tokens
+    assert error < 0.15 and mine / tokens > base / tokens + 0.2
+
+
 def test_model_without_texts(spark, empty, small):
     out = bloom_lm.score(small, bloom_lm.learn(empty), ["doc_id"]).collect()
     assert {(r.train_tokens, r.n_known, r.base_score) for r in out} == {(0, 0, 0.0)}
