@@ -119,6 +119,54 @@ def test_lines_with_words_of_their_own_stay(spark):
     assert all(r.n_dropped == 0 for r in lines.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
 
 
+def test_every_template_of_a_leaf_stays_once(spark):
+    rng = random.Random(6)
+
+    def own(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n))
+    opening, one, two = "the same eight words open each of them", own(40), own(40)
+    rows = [(0, f"{opening} {own(40)}")]  # the leaf's first line is like no other
+    rows += [(10 + i, f"{opening} {one.replace(one.split()[3], own(1))}") for i in range(6)]
+    rows += [(20 + i, f"{opening} {two.replace(two.split()[33], own(1))}") for i in range(5)]
+    rows += [(30 + i, f"{opening} {' '.join(own(40).split()[:10] + two.split()[10:30])} {own(10)}") for i in range(6)]
+    four = own(40)
+    rows += [(40 + i, f"{opening} {four}") for i in range(4)] + [(43, f"{opening} {four}")]
+    docs = spark.createDataFrame(rows[:-1], "doc_id long, text string")
+    assert {r.doc_id: r.n_dropped for r in lines.drop_lines(docs).collect()} == {i: int(11 <= i < 16 or 21 <= i < 25) for i, _ in rows}
+    # a document that holds a line twice counts once
+    out = [r for r in lines.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id >= 40]
+    assert [r.n_dropped for r in out] == [0] * 5
+
+
+def test_many_templates_in_few_leaves_equal_sql(spark):
+    rng = random.Random(7)
+    rows = [(i, "\n".join(" ".join(["w"] * 8 + [rng.choice("abc") for _ in range(n)]) for n in rng.choices([0, 1, 2, 4, 5, 7, 8], k=4))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit(""), "source": F.lit("")})
+    for kw in ({}, {"min_docs": 2}, {"min_docs": 12}):
+        assert sorted(str(sorted(r.asDict().items())) for r in lines_of(docs, **kw).collect()) == on_duckdb(docs, lines.oracle(**kw))
+    # plain Python: the first line's template, then the three quarters that most documents share
+    words = [(i, k, tuple(line.split())) for i, t in rows for k, line in enumerate(t.split("\n"))]
+    leaves, dropped = defaultdict(list), Counter()
+    for i, k, w in words:
+        n = len(w) - 8
+        leaves[len(w)].append((i, k, tuple(w[8 + n * j // 4:8 + n * (j + 1) // 4] for j in range(4))))
+    for leaf in leaves.values():
+        like = [r for r in leaf if sum(a == b for a, b in zip(r[2], leaf[0][2])) >= 3]
+        if len({i for i, *_ in like}) >= 5:
+            dropped.update(i for i, *_ in like[1:])
+            leaf = [r for r in leaf if r not in like]
+        holders, seen = defaultdict(set), set()
+        threes = {r: [(f, r[2][:f] + r[2][f + 1:]) for f in range(4)] for r in leaf}
+        for r in leaf:
+            for t in threes[r]:
+                holders[t].add(r[0])
+        for r in leaf:
+            size, _, t = min((-len(holders[t]), t[0], t) for t in threes[r])
+            dropped[r[0]] += size <= -5 and t in seen
+            seen.add(t)
+    assert {r.doc_id: r.n_dropped for r in lines_of(docs).collect()} == {i: dropped[i] for i, _ in rows}
+
+
 def test_rows_with_one_id_keep_their_own_lines(spark):
     line = "a line that many of the documents hold in common"
     rows = [(i, f"start {i}\n{line}") for i in range(1, 8)] + [(3, "start 3\na unique line that stands nowhere else at all"), (3, f"start 3\n{line}")]
