@@ -71,3 +71,11 @@ def test_tokens_come_in_the_order_of_the_mixture(spark):
         for s, u in units.items():
             if run[s] < blocks[s]:
                 assert abs(run[s] - (t + 1) * u / mixing.PERIOD) < 1
+
+
+def test_line_dedup_finds_every_template_of_a_leaf(spark):
+    opening, tail = "the same eight words open each of them", " ".join(f"tail{'abcd'[k // 5]}{'vwxyz'[k % 5]}" for k in range(20))
+    rows = [(0, f"{opening} " + " ".join(["first"] * 20), "a", 0)] + [(i, f"own start of {'abcdefg'[i]}\n{opening} {tail}", "a", 0) for i in range(1, 7)]
+    out = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long"), SF).collect()
+    want = [(i, t if i < 2 else t.split("\n")[0]) for i, t, *_ in rows]
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out) == [(i, t, len(t)) for i, t in want]
