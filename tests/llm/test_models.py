@@ -1,5 +1,6 @@
 import hashlib
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -44,6 +45,22 @@ def test_base_score_equals_brute_force(small, odd, slice_mb, monkeypatch):
             assert math.isclose(r.base_score, base, rel_tol=1e-9, abs_tol=1e-9) and r.score < 0
 
 
+def test_model_leaves_the_executors_when_scores_are_written(spark, small, tmp_path):
+    model, told = bloom_lm.learn(small, slice_mb=0), []
+    for part in (model.words, *[b for *_, b in model.slices]):
+        part.unpersist = lambda blocking=False, f=part.unpersist: (told.append(blocking), f(blocking))
+    out = bloom_lm.score(small, model, ["doc_id"])
+    assert told == [True] * (1 + len(model.slices))
+    again = bloom_lm.score(small, model, ["doc_id"])
+    assert out.orderBy("doc_id").collect() == again.orderBy("doc_id").collect()
+    files = [part._path for part in (model.words, *[b for *_, b in model.slices])]
+    model.destroy()
+    assert not any(map(os.path.exists, files)) and out.count() == small.count()
+    small.write.parquet(f"{tmp_path}/documents.parquet")
+    scored = queries.op2_lm_scoring(spark, str(tmp_path))  # its model is gone, its rows stay
+    assert scored.count() == small.count() and scored.where("score is null").count() == 0
+
+
 def test_slices_do_not_change_scores(small):
     a, b = (bloom_lm.score(small, bloom_lm.learn(small, slice_mb=mb), ["doc_id"]).orderBy("doc_id").collect() for mb in (256, 0))
     assert all(math.isclose(x.score, y.score, rel_tol=1e-9) for x, y in zip(a, b))
