@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from llm.conftest import SF, clashing
 from llm.test_simhash_substrings import split
 from panelcast.llm import bloom_lm, cdc, chains, gam, queries
-from panelcast.llm.words import mix, unmix
+from panelcast.llm.words import WordHash, mix, unmix, word_hashes
 
 
 def lower(text):
@@ -79,6 +79,44 @@ def test_filter_levels_are_one_sided():
     assert (f.level(rng.integers(0, 2**63, 20_000).astype(np.uint64)) > 0).mean() < 0.04
 
 
+def test_levels_equal_one_probe_after_another_in_few_calls(monkeypatch):
+    rng = np.random.default_rng(2)
+    parts = [(rng.integers(0, 2**63, n).astype(np.uint64), rng.zipf(1.5, n).clip(1, 10**5), first) for n, first in ((300, 20), (1, 6), (500, 24))]
+    built = [bloom_lm.build_filter(*p) for p in parts]
+    raw = np.frombuffer(b"".join(r for r, _ in built), np.uint8)
+    starts = np.cumsum([0, *[size for _, size in built]])
+    asked = [np.concatenate([h, rng.integers(0, 2**63, 200).astype(np.uint64)]) for h, *_ in parts]
+    h, k = np.concatenate(asked), np.repeat(np.arange(3), [len(a) for a in asked])
+    size, start, first = np.array([n for _, n in built], np.uint64)[k], starts[k].astype(np.uint64), np.array([p[2] for p in parts])[k]
+    size[-7:] = 0  # chunks without n-grams
+
+    def one(h, size, start, first):
+        q = 0
+        while size:
+            a, b = (int(x[0]) for x in bloom_lm._seeds(np.array([h], np.uint64), q + 1))
+            bits = [int(start) + (a + i * b) % 2**64 % int(size) for i in range(bloom_lm.PROBES if q else first)]
+            if not all(raw[x >> 3] >> (x & 7) & 1 for x in bits):
+                break
+            q += 1
+        return q
+    calls, place = [], bloom_lm._place
+    monkeypatch.setattr(bloom_lm, "_place", lambda *x: (calls.append(1), place(*x))[1])
+    got = bloom_lm.levels(raw, h, size, start, first)
+    assert got.tolist() == [one(*x) for x in zip(h, size, start, first)] and got.max() > 5
+    assert len(calls) <= 24 // bloom_lm.AT_ONCE + got.max()
+    monkeypatch.setattr(bloom_lm, "PLACES", 1)
+    assert (bloom_lm.levels(raw, h, size, start, first) == got).all()
+    known = np.concatenate([np.r_[bloom_lm.quantise(c), np.zeros(200, np.int64)] for _, c, _ in parts])
+    known[-7:] = 0
+    assert (bloom_lm.levels(raw, h, size, start, first, known) == got).all()
+    assert len(bloom_lm.levels(raw, h[:0], size[:0], start[:0], first[:0])) == 0
+
+
+def test_hashes_of_words_are_the_same_with_and_without_a_cache():
+    parts = [b"a", b"", b"two words", "\u00e9\U0001f600".encode(), b"x" * 5000]
+    assert word_hashes(parts).tolist() == WordHash().array(parts).tolist() and word_hashes([]).dtype == np.uint64 and len(word_hashes([])) == 0
+
+
 def next_words(model, contexts):
     """Sum of P(word | context) over the vocabulary and one unknown word, for each context."""
     parts = [b.value for _, _, b in model.slices]
