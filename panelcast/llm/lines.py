@@ -5,7 +5,7 @@ A word with a digit is a variable field and matches any other.  In its leaf a li
 the leaf's first line, quarter by quarter of the words behind the leading ones; three equal quarters
 make them one template, so a variable field in the fourth does not matter and a line with words of
 its own is no copy.  Lines that the first one leaves are grouped by the three quarters that they share
-with each other, so a leaf holds any number of templates.
+with any lines of the leaf, so a leaf holds any number of templates.
 """
 
 from pyspark.sql import DataFrame
@@ -46,9 +46,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     The first template of a leaf is its first line, that with the smallest id, then text hash, then place.
     It recurs if ``min_docs`` different documents hold it; it stays at its first place and is dropped
-    elsewhere.  A line that no such template holds belongs to the three quarters that most documents
-    have in common among these lines, of equal ones to those with the earliest quarter left out; if
-    ``min_docs`` documents have them, the first line that belongs there stays and the others are dropped.
+    elsewhere.  A line that no such template holds belongs to those of its three quarters that most documents
+    have in the leaf, in lines of the first template as well, of equal ones to those with the earliest quarter left out;
+    if ``min_docs`` documents have them, the first line that belongs there stays and the others are dropped.
     Other lines stay.  Rows without an id are left alone and not counted; rows with one id count as one
     document, and each text keeps its own places.
     """
@@ -63,23 +63,26 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     equal = sum(((F.col(q) == F.col(f"first.{q}")).cast("int") for q in quarters), F.lit(0))
     near = write_once(found.join(frequent, keys).select(*keys, "doc_id", "tag", "line", *quarters, (equal >= 3).alias("alike"),
                                                         (place == F.col("first")).alias("stays")), "near")
-    recurring = (near.where("alike").groupBy(*keys, "doc_id").agg(F.lit(1).alias("one")).groupBy(*keys).agg(F.count(F.lit(1)).alias("docs"))
-                 .where(F.col("docs") >= min_docs).select(*keys))
-    copies = near.where("alike and not stays").join(recurring, keys).select("doc_id", "tag", "line")
-    rest = near.where(~F.col("alike")).unionByName(near.where("alike").join(recurring, keys, "left_anti"))
-    return copies.unionByName(_shared_quarters(rest, min_docs)).groupBy("doc_id", "tag").agg(F.array_sort(F.collect_set("line")).alias("lines"))
-
-
-def _shared_quarters(rest: DataFrame, min_docs: int) -> DataFrame:
-    """(doc_id, tag, line) of the lines of ``rest`` that repeat three quarters of another line of their leaf, as ``repeated_lines`` says."""
+    # leaves all of whose lines the first template holds need no other
+    leaves = (near.groupBy(*keys, "doc_id").agg(F.max("alike").alias("some"), F.min("alike").alias("whole")).groupBy(*keys)
+              .agg((F.sum(F.col("some").cast("int")) >= min_docs).alias("recurs"), F.min("whole").alias("whole")))
+    marked = near.join(leaves, keys).withColumn("taken", F.col("alike") & F.col("recurs"))
+    copies = marked.where("taken and not stays").select("doc_id", "tag", "line")
+    others = _shared_quarters(marked.where("not (recurs and whole)"), min_docs)
+    return copies.unionByName(others).groupBy("doc_id", "tag").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+
+
+def _shared_quarters(near: DataFrame, min_docs: int) -> DataFrame:
+    """(doc_id, tag, line) of the lines of ``near`` not ``taken`` by a first template that repeat three quarters of others of their leaf,
+    as ``repeated_lines`` says; the taken ones count as others."""
     quarters, line = [f"q{k}" for k in range(1, 5)], ["doc_id", "tag", "line"]
     threes = [F.struct(F.lit(k).alias("free"), *[F.col(q).alias(c) for c, q in zip("abc", quarters[:k - 1] + quarters[k:])]) for k in range(1, 5)]
     template = ["leaf", "leaf2", "free", "a", "b", "c"]
-    held = rest.select("leaf", "leaf2", *line, F.explode(F.array(*threes)).alias("t")).select("leaf", "leaf2", *line, "t.*")
+    held = near.select("leaf", "leaf2", *line, "taken", F.explode(F.array(*threes)).alias("t")).select("leaf", "leaf2", *line, "taken", "t.*")
     common = (held.groupBy(*template, "doc_id").agg(F.lit(1).alias("one")).groupBy(*template).agg(F.count(F.lit(1)).alias("docs"))
               .where(F.col("docs") >= min_docs))
     best = F.min(F.struct((-F.col("docs")).alias("less"), "free", "a", "b", "c")).alias("t")
-    own = write_once(held.join(common, template).groupBy("leaf", "leaf2", *line).agg(best).select("leaf", "leaf2", *line, "t.*"), "shared")
+    own = write_once(held.where(~F.col("taken")).join(common, template).groupBy("leaf", "leaf2", *line).agg(best).select("leaf", "leaf2", *line, "t.*"), "shared")
     first = own.groupBy(*template).agg(F.min(F.struct(*line)).alias("first"))
     return own.join(first, template).where(F.struct(*line) != F.col("first")).select(*line)
 
@@ -134,17 +137,17 @@ near AS (
          len(list_filter(list_zip(q, first_q), lambda z: z[1] = z[2])) >= 3 AS alike FROM leaves JOIN frequent USING (n_words, path)),
 recurring AS (
   SELECT n_words, path FROM near WHERE alike GROUP BY n_words, path HAVING count(DISTINCT doc_id) >= {min_docs}),
-rest AS (
-  SELECT * FROM near WHERE NOT alike UNION ALL (SELECT * FROM near ANTI JOIN recurring USING (n_words, path) WHERE alike)),
+marked AS (
+  SELECT n.*, alike AND r.path IS NOT NULL AS taken FROM near AS n LEFT JOIN recurring AS r ON n.n_words = r.n_words AND n.path = r.path),
 held AS (
-  SELECT n_words, path, doc_id, line, free, q[:free - 1] || q[free + 1:] AS three FROM rest, (SELECT unnest([1, 2, 3, 4]) AS free)),
+  SELECT n_words, path, doc_id, line, taken, free, q[:free - 1] || q[free + 1:] AS three FROM marked, (SELECT unnest([1, 2, 3, 4]) AS free)),
 common AS (
   SELECT n_words, path, free, three, count(DISTINCT doc_id) AS docs FROM held GROUP BY n_words, path, free, three HAVING docs >= {min_docs}),
 own AS (
   SELECT n_words, path, doc_id, line, arg_min((free, three), (-docs, free)) AS template
-  FROM held JOIN common USING (n_words, path, free, three) GROUP BY n_words, path, doc_id, line),
+  FROM held JOIN common USING (n_words, path, free, three) WHERE NOT taken GROUP BY n_words, path, doc_id, line),
 dropped AS (
-  SELECT doc_id, line FROM near JOIN recurring USING (n_words, path) WHERE alike AND NOT stays
+  SELECT doc_id, line FROM marked WHERE taken AND NOT stays
   UNION SELECT doc_id, line FROM own QUALIFY (doc_id, line) <> min((doc_id, line)) OVER (PARTITION BY n_words, path, template)),
 kept AS (
   SELECT l.doc_id, count(*) AS n_lines, count(d.line) AS n_dropped,

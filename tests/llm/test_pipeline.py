@@ -79,3 +79,13 @@ def test_line_dedup_finds_every_template_of_a_leaf(spark):
     out = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long"), SF).collect()
     want = [(i, t if i < 2 else t.split("\n")[0]) for i, t, *_ in rows]
     assert sorted((r.doc_id, r.text, r.n_chars) for r in out) == [(i, t, len(t)) for i, t in want]
+
+
+def test_line_dedup_counts_lines_of_the_first_template(spark):
+    def line(*quarters):
+        return "the same eight words open each of them " + " ".join(f"{q}{c}" for q in quarters for c in "vwxyz")
+    held = [line("a", "b", "c", "d"), *[line("a", "b", "c", "e")] * 4, line("a", "b", "f", "e"), line("a", "b", "g", "e")]
+    rows = [(i, f"own start of {'abcdefg'[i]}\n{t}", "a", 0) for i, t in enumerate(held)]
+    out = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long"), SF).collect()
+    want = [(i, t if i in (0, 5) else t.split("\n")[0]) for i, t, *_ in rows]
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out) == [(i, t, len(t)) for i, t in want]

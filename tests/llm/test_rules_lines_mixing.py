@@ -144,20 +144,21 @@ def test_many_templates_in_few_leaves_equal_sql(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit(""), "source": F.lit("")})
     for kw in ({}, {"min_docs": 2}, {"min_docs": 12}):
         assert sorted(str(sorted(r.asDict().items())) for r in lines_of(docs, **kw).collect()) == on_duckdb(docs, lines.oracle(**kw))
-    # plain Python: the first line's template, then the three quarters that most documents share
+    # plain Python: the first line's template, then the three quarters that most documents of the leaf share
     words = [(i, k, tuple(line.split())) for i, t in rows for k, line in enumerate(t.split("\n"))]
     leaves, dropped = defaultdict(list), Counter()
     for i, k, w in words:
         n = len(w) - 8
         leaves[len(w)].append((i, k, tuple(w[8 + n * j // 4:8 + n * (j + 1) // 4] for j in range(4))))
-    for leaf in leaves.values():
+    for whole in leaves.values():
+        leaf = whole
         like = [r for r in leaf if sum(a == b for a, b in zip(r[2], leaf[0][2])) >= 3]
         if len({i for i, *_ in like}) >= 5:
             dropped.update(i for i, *_ in like[1:])
             leaf = [r for r in leaf if r not in like]
         holders, seen = defaultdict(set), set()
-        threes = {r: [(f, r[2][:f] + r[2][f + 1:]) for f in range(4)] for r in leaf}
-        for r in leaf:
+        threes = {r: [(f, r[2][:f] + r[2][f + 1:]) for f in range(4)] for r in whole}
+        for r in whole:
             for t in threes[r]:
                 holders[t].add(r[0])
         for r in leaf:
@@ -167,6 +168,21 @@ def test_many_templates_in_few_leaves_equal_sql(spark):
     assert {r.doc_id: r.n_dropped for r in lines_of(docs).collect()} == {i: dropped[i] for i, _ in rows}
 
 
+def test_lines_of_the_first_template_count_for_others(spark):
+    def line(*quarters):
+        return "the same eight words open each of them " + " ".join(f"{q}{c}" for q in quarters for c in "vwxyz")
+    rows = [(0, line("a", "b", "c", "d"))] + [(i, line("a", "b", "c", "e")) for i in range(1, 5)]
+    # three quarters like those of four lines that the first template holds, two like the first line alone
+    rows += [(10, line("a", "b", "f", "e")), (11, line("a", "b", "g", "e")), (12, line("a", "b", "h", "e")), (20, line("a", "i", "j", "d")), (21, line("a", "k", "l", "d"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit(""), "source": F.lit("")})
+    assert {r.doc_id: r.n_dropped for r in lines_of(docs).collect()} == {i: int(1 <= i < 5 or i in (11, 12)) for i, _ in rows}
+    assert sorted(str(sorted(r.asDict().items())) for r in lines_of(docs).collect()) == on_duckdb(docs, lines.oracle())
+    # with one document less that holds them, the three quarters do not recur
+    fewer = docs.where("doc_id not in (3, 4, 12)").unionByName(docs.where("doc_id = 0").selectExpr("doc_id + 30 as doc_id", "text", "lang", "source"))
+    fewer = fewer.unionByName(docs.where("doc_id = 0").selectExpr("doc_id + 31 as doc_id", "text", "lang", "source"))
+    assert {r.doc_id for r in lines_of(fewer).where("n_dropped > 0").collect()} == {1, 2, 30, 31}
+
+
 def test_rows_with_one_id_keep_their_own_lines(spark):
     line = "a line that many of the documents hold in common"
     rows = [(i, f"start {i}\n{line}") for i in range(1, 8)] + [(3, "start 3\na unique line that stands nowhere else at all"), (3, f"start 3\n{line}")]
