@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from llm.conftest import SF, clashing
 from llm.test_simhash_substrings import split
-from panelcast.llm import bloom_lm, cdc, chains, gam, queries
-from panelcast.llm.words import WordHash, mix, unmix, word_hashes
+from panelcast.llm import blobs, bloom_lm, cdc, chains, gam, queries
+from panelcast.llm.words import WordHash, bounds, mix, unmix, word_hashes, words
+from panelcast.sources import staging
 
 
 def lower(text):
@@ -66,6 +67,58 @@ def test_slices_do_not_change_scores(small):
     assert all(math.isclose(x.score, y.score, rel_tol=1e-9) for x, y in zip(a, b))
 
 
+def test_nothing_learnt_passes_through_the_driver(spark, small, monkeypatch):
+    def no(*a, **b):
+        raise AssertionError("the model came to the driver")
+    got, frame = [], type(small)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", no)
+    monkeypatch.setattr(frame, "toLocalIterator", no)
+    monkeypatch.setattr(frame, "collect", lambda self, f=frame.collect: (got.append(rows := f(self)), rows)[1])
+    before = spark.conf.get(staging.CLEANUP, None)
+    model = bloom_lm.learn(small)
+    out = bloom_lm.score(small, model, ["doc_id"])
+    model.destroy()
+    assert sum(len(str(rows)) for rows in got) < 1000 and spark.conf.get(staging.CLEANUP, None) == before
+    assert out.count() == small.count() and out.where("score is null").count() == 0
+
+
+def test_lots_answer_what_the_whole_model_says(small, odd, monkeypatch):
+    monkeypatch.setattr(blobs, "CHUNK_CHARS", 1 << 12)  # many chunks and lots
+    monkeypatch.setattr(bloom_lm, "SCORE_TOKENS", 5000)
+    docs = small.limit(300).select("doc_id", "text").unionAll(odd.select("doc_id", "text")).cache()
+    model = bloom_lm.learn(small, slice_mb=0)
+    assert model.contexts.count() > 3
+    singles, keys, sums = model.words.value
+    parts, low, room = [(lo, hi, b.value) for lo, hi, b in model.slices], 0.5, model.n + 0.5 * (model.types + 1)
+
+    def whole(text):
+        tokens = np.r_[word_hashes(words(text, lower=True)), bloom_lm.END]
+        pairs, before = bloom_lm.pair_hashes(tokens, bounds([len(tokens)]))
+        chunk = pairs >> np.uint64(64 - model.bits)
+        count = sum(np.where((chunk >= lo) & (chunk < hi), bloom_lm.Filter(p[0]).count(pairs), 0.0) for lo, hi, p in parts)
+        held = bloom_lm._found(keys, sums, bloom_lm.context(before).astype(np.uint32))
+        p_word = (bloom_lm.Filter(singles).count(tokens) + low) / room
+        return float(np.sum(np.log10(count + model.prior * p_word) - np.log10(held + model.prior + bloom_lm.SLACK)))
+    want = Counter((r.doc_id, round(whole(r.text), 6)) for r in docs.collect())
+    assert Counter((r.doc_id, round(r.score, 6)) for r in bloom_lm.score(docs, model, ["doc_id"]).collect()) == want
+
+
+def test_kept_columns_come_back_as_they_were(spark):
+    big = 2**62 + 1  # no double has it
+    docs = spark.createDataFrame([(big, {"a": 1}, "one two", "x"), (None, None, None, None), (big + 2, {}, "one two", "y")],
+                                 "score_id long, m map<string,int>, body string, `lot` string")
+    out = bloom_lm.score(docs, bloom_lm.learn(docs, "body"), ["score_id", "m", "lot"], "body")
+    assert sorted((r.score_id or 0, r.m, r.lot, r.n_tokens) for r in out.collect()) == [(0, None, None, 1), (big, {"a": 1}, "x", 3), (big + 2, {}, "y", 3)]
+
+
+def test_packed_numbers_come_back():
+    x = np.sort(np.random.default_rng(3).integers(0, 2**64, 5000, dtype=np.uint64))
+    for part in (x, x[:1], x[:0], (x >> np.uint64(40)).astype(np.uint32)):
+        assert (blobs.from_gaps(blobs.gaps(part), part.dtype) == part).all() and len(blobs.from_gaps(blobs.gaps(part), part.dtype)) == len(part)
+    y = np.random.default_rng(4).random(100)
+    assert (blobs.from_planes(blobs.planes(y), float) == y).all() and (blobs.from_planes(blobs.planes(y.astype(np.float32)), np.float32) == y.astype(np.float32)).all()
+
+
 def test_filter_levels_are_one_sided():
     rng = np.random.default_rng(1)
     h, c = rng.integers(0, 2**63, 20_000).astype(np.uint64), rng.zipf(1.6, 20_000).clip(1, 10**6)
